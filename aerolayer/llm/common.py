@@ -63,7 +63,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternates large-star and small-star steps on written tables, so each step moves at most the
     edges, converges in a logarithmic number of rounds and never gathers a component in one task:
-    minima are pre-aggregated, and the joins back are sort-merge joins that AQE may split.
+    minima are pre-aggregated and written, so that the joins back are plain sort-merge joins, whose hot
+    keys AQE splits.
     component is the smallest node reachable.
     """
     scratch = Scratch(edges.sparkSession, "components")
@@ -74,16 +75,17 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         # Large star: every larger neighbour of u is tied to the least of u and its neighbours.
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.write(least, "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = scratch.write(large.where("u <> v").distinct(), "large")
         # Small star: u and its smaller neighbours are tied to the least of those.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
+        lesser = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), "lesser")
+        small = large.join(lesser, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            lesser.select("u", F.col("m").alias("v"))
         )
         small = scratch.write(small.where("u <> v").distinct(), "small")
         state = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(e, large)
+        scratch.drop(e, least, large, lesser)
         e = small
         if tuple(state) == seen:
             break

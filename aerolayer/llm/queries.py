@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import linededup, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op5_simhash": simhash.op5_simhash,
+    "op6_line_dedup": linededup.op6_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
