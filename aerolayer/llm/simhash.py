@@ -208,35 +208,123 @@ def near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3) -> DataFrame:
     )
 
 
-def band_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, band, fp, size, body): SimHash of ROWS min-wise sampled shingles for each of BANDS bands.
+def signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, size, fp, bands): what the similarity stage knows of each text.
 
-    Documents that share SIMILARITY of their shingles share a sample, and so a fingerprint, in some band
-    with probability 1 - (1 - 0.8**3)**7 = 0.993.  body identifies the normalised word sequence.
+    body names the normalised word sequence, size counts its distinct shingles of WORDS words, fp is their
+    SimHash, and bands holds the SimHash of ROWS min-wise sampled shingles for each of BANDS bands: texts
+    that share SIMILARITY of their shingles agree in some band with probability 1 - (1 - 0.8**3)**7 = 0.993.
     """
 
     def run(batches):
-        mix = np.random.default_rng(11).integers(1, 2**63, (BANDS, ROWS), np.uint64) | np.uint64(1)
+        mix = np.random.default_rng(11).integers(1, 2**63, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
         for b in batches:
-            cols: list = [[], [], [], [], []]
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                h = np.unique(shingle_hashes(t, WORDS))
-                body = xxhash.xxh3_128_digest(b" ".join((t or b"").lower().split())).hex()
-                for band in range(BANDS):
-                    picked = []
-                    for row in range(ROWS) if len(h) else ():
-                        x = h * mix[band, row]
-                        x ^= x >> np.uint64(29)
-                        picked.append(h[np.argmin(x * np.uint64(0x9E3779B97F4A7C15))])
-                    for c, v in zip(cols, (i, band, majority(np.array(picked, np.uint64)), len(h), body), strict=True):
-                        c.append(v)
+            body, size, fp, bands = [], [], [], []
+            for t in b.column(1).to_pylist():
+                h = shingle_hashes(t, WORDS)
+                body.append(xxhash.xxh3_128_hexdigest(b" ".join((t or b"").lower().split())))
+                fp.append(majority(h))
+                h = np.unique(h)
+                size.append(len(h))
+                least, picked = np.full(BANDS * ROWS, np.iinfo(np.uint64).max), np.zeros(BANDS * ROWS, np.uint64)
+                for at in range(0, len(h), 16384):
+                    part = h[at : at + 16384]
+                    x = part * mix
+                    x ^= x >> np.uint64(29)
+                    x *= np.uint64(0x9E3779B97F4A7C15)
+                    i = x.argmin(axis=1)
+                    x = x[np.arange(len(x)), i]
+                    picked = np.where(x <= least, part[i], picked)
+                    least = np.minimum(x, least)
+                bands.append([majority(r) for r in picked.reshape(BANDS, ROWS)])
+            flat = pa.array(signed(np.array(bands, np.uint64).reshape(-1)))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(signed(np.array(cols[2], np.uint64))), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.string())],
-                ["doc_id", "band", "fp", "size", "body"],
+                [b.column(0), pa.array(body, pa.string()), pa.array(size, pa.int32()), pa.array(signed(np.array(fp, np.uint64))), lists], ["doc_id", "body", "size", "fp", "bands"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, band int, fp long, size int, body string")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, body string, size int, fp long, bands array<long>")
+
+
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, shingles): the sorted distinct shingle hashes of whole texts."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                sets = [signed(np.unique(shingle_hashes(t, WORDS))) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+
+
+def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, component_id) of documents in classes of two or more, by verified links.
+
+    Exact copies form one class before any comparison.  Candidates are fingerprints of whole texts at 3 bits
+    or fewer, from the vantage-point trees, and equal fingerprints of a band; of these, pairs that share
+    SIMILARITY of their shingle sets are linked.  In a band's group all members are compared with the first;
+    those that are not like it are grouped again without it, until none is left.
+    """
+    marks = scratch.write(signatures(docs), "signatures")
+    reps = marks.groupBy("body").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "fp", "bands")])
+    reps = scratch.write(reps, "reps")
+    #: Candidates of the trees: classes of equal or near fingerprints; the first text stands for its fingerprint.
+    points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "points")
+    near = link_fingerprints(points, 3).select("a", "b")
+    equal = reps.select("fp", F.col("rep").alias("b")).join(points.select("fp", F.col("rep").alias("a")), "fp").where("a <> b").select("a", "b")
+    sizes = reps.select("rep", "size")
+    pairs = scratch.write(near.unionByName(equal).distinct(), "near")
+    sides = [sizes.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
+    pairs = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("groups", F.lit(None).cast("array<struct<band:int,fp:long>>"))
+    members = reps.select("rep", "size", F.posexplode("bands").alias("band", "fp"))
+    links, sets = None, None
+    while True:
+        leaders = members.groupBy("band", "fp").agg(F.min(F.struct("rep", "size")).alias("first"), F.count("*").alias("n"))
+        leaders = scratch.write(leaders.where("n > 1").select("band", "fp", "first"), "leaders")
+        found = members.join(leaders, ["band", "fp"]).where("rep <> first.rep")
+        found = found.groupBy(F.col("first.rep").alias("a"), F.col("rep").alias("b")).agg(
+            F.first("first.size").alias("na"), F.first("size").alias("nb"), F.collect_list(F.struct("band", "fp")).alias("groups")
+        )
+        pairs = scratch.write(pairs.unionByName(found) if links is None else found, "pairs")
+        if pairs.isEmpty():
+            break
+        enough = (F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0)
+        close = pairs.where(enough).select("a", "b").distinct()
+        if sets is None:
+            # Leaders of later rounds are members of this one's groups, so these texts are all that is needed.
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+            sets = scratch.write(shingle_sets(texts.join(scratch.write(ids, "ids"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+        one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+        like = scratch.write(like, "like")
+        links = like if links is None else links.unionByName(like)
+        rest = pairs.where("groups is not null").join(like, ["a", "b"], "left_anti")
+        members = rest.select(F.col("b").alias("rep"), F.col("nb").alias("size"), F.explode("groups").alias("g")).select("rep", "size", "g.band", "g.fp")
+        members = scratch.write(members, "members")
+    if links is None:
+        links = pairs.select("a", "b")
+    comps = scratch.write(connected_components(links, "a", "b"), "comps")
+    named = reps.select("body", "rep").join(comps, reps["rep"] == comps["node"], "left").select("body", F.coalesce("component", "rep").alias("component_id"))
+    return marks.select("doc_id", "body").join(scratch.write(named, "named"), "body").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """documents with one document of each group: the one of the smallest doc_id.
+
+    Groups are chains of documents that share 0.8 or more of their distinct five-word shingles (texts of
+    fewer words are one shingle; all texts without words are copies of one another; null texts count as
+    empty).  Letters A-Z and white space don't distinguish copies.  Rows with a null doc_id stay; repeated
+    rows share a doc_id and count as one document.  Other columns stay as they are.
+    """
+    scratch = Scratch(docs.sparkSession, "similar")
+    classes = similar_classes(docs, scratch)
+    gone = scratch.write(classes.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
