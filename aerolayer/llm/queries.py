@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, htmltext, linededup, media, mixing, pii, pseudolm, simhash, toxicity
+from . import decontaminate, htmltext, licenses, linededup, media, mixing, pii, pseudolm, simhash, toxicity
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ QUERIES = {
     "op6_line_dedup": linededup.op6_line_dedup,
     "op7_media": media.op7_media,
     "op8_html_text": htmltext.op8_html_text,
+    "op9_licenses": licenses.op9_licenses,
     "op10_pii": pii.op10_pii,
     "pipeline": pipeline,
 }
