@@ -116,25 +116,23 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int =
     goals = spark.createDataFrame([(r[0], r[1], t) for r, t in zip(listed, targets, strict=True)], "source string, source_size long, target double")
 
     def plan(batch: pa.Table) -> pa.Table:
-        source, length = batch.column("source")[0].as_py(), batch.column("size").to_numpy()
-        bucket, n = batch.column("bucket").to_numpy(), batch.column("n").to_numpy()
-        order = np.lexsort((bucket, length))
-        length, bucket, n = length[order], bucket[order], n[order]
-        lengths, begin = np.unique(length, return_index=True)
-        per = np.add.reduceat(n, begin)
+        source, lengths, n = batch.column("source")[0].as_py(), batch.column("size").to_numpy(), batch.column("n").to_numpy()
+        order = np.argsort(lengths)
+        lengths, n = lengths[order], n[order]
         size, target = batch.column("source_size")[0].as_py(), batch.column("target")[0].as_py()
         passes = min(most, int(target // size)) if size else 0
         budget = round(target - passes * size) if passes < most else 0
-        quota = np.repeat(partial_pass(lengths, per, budget), np.diff(np.append(begin, len(n))))
-        before = np.cumsum(n) - n
-        before -= np.repeat(before[begin], np.diff(np.append(begin, len(n))))
-        quota = np.clip(quota - before, 0, n)
-        return pa.table({"source": pa.array([source] * len(n), pa.string()), "size": length, "bucket": bucket, "quota": quota, "n": n, "passes": np.full(len(n), passes), "source_size": np.full(len(n), size), "target": np.full(len(n), target)})
-
-    same = counts["source"].eqNullSafe(goals["source"])
-    told = counts.join(goals, same).select(counts["source"], "size", "bucket", "n", "source_size", "target")
-    quotas = told.groupBy("source").applyInArrow(plan, "source string, size long, bucket int, quota long, n long, passes long, source_size long, target double")
-    quotas = scratch.write(quotas, "quotas")
+        return pa.table({"source": pa.array([source] * len(n), pa.string()), "size": lengths, "take": partial_pass(lengths, n, budget), "passes": np.full(len(n), passes), "source_size": np.full(len(n), size), "target": np.full(len(n), target)})
+
+    lengths = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    told = lengths.join(goals, lengths["source"].eqNullSafe(goals["source"])).select(lengths["source"], "size", "n", "source_size", "target")
+    takes = told.groupBy("source").applyInArrow(plan, "source string, size long, take long, passes long, source_size long, target double")
+    takes = scratch.write(takes.withColumnsRenamed({"source": "s", "size": "l"}), "takes")
+    # A length's quota fills its buckets in order: at most BUCKETS rows for each length.
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    quotas = counts.withColumn("before", before).join(takes, counts["source"].eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")))
+    quota = F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.col("before"))).cast("long")
+    quotas = scratch.write(quotas.select("source", "size", "bucket", "n", quota.alias("quota"), "passes", "source_size", "target"), "quotas")
     plans = quotas.select(F.col("source").alias("s"), F.col("size").alias("l"), F.col("bucket").alias("k"), "quota", "n", "passes", "source_size", "target")
     told = rows.join(plans, rows["source"].eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")) & (F.col("bucket") == F.col("k")))
     told = told.select("doc_id", "source", "size", "order", "bucket", "quota", "n", "passes", "source_size", "target")
