@@ -42,8 +42,9 @@ class Buckets:
         docs = [(t or b"").lower().split() for t in texts]
         seen = self.seen
         for d in docs:
-            for w in set(d) - seen.keys():
-                seen[w] = zlib.crc32(w) % BUCKETS
+            for w in d:
+                if w not in seen:
+                    seen[w] = zlib.crc32(w) % BUCKETS
         flat = np.array([b for d in docs for b in map(seen.__getitem__, d)], np.int64)
         return flat, np.array([len(d) for d in docs], np.int64)
 
