@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-DataFrame operations alone.  Statements are the lines of a file that speak of licensing, wherever they stand,
-and the leading block they are in; a licence file is one statement more as a whole.  Equal statements are compared
+DataFrame operations alone.  Statements are the lines of a file that speak of licensing and the runs of comment
+lines they are in, wherever they stand; a licence file is one statement more as a whole.  Equal statements are compared
 once, however many files hold them.  Document frequencies count all distinct statements of all files and the
 templates.  A file without a licence of its own takes that of the licence file in its nearest ancestor
 directory, found by joins on paths, directory by directory.
@@ -17,7 +17,9 @@ from .common import Scratch, table
 #: Least cosine of a statement to a template.
 SIMILARITY = 0.5
 #: Lines that speak of licensing.
-SPEAKS = r"(?i)licen[cs]e|copyright|spdx|public domain|creative commons|\bcc[- ]by|\bmit\b|\bbsd\b|\bgpl|redistribut|permission is hereby"
+SPEAKS = r"(?i)licen[cs]e|copyright|spdx|public domain|creative commons|\bcc[- ]by|redistribut|permission is hereby"
+#: Runs of comment lines.
+COMMENTS = r"(?m)(?:^[ \t]*+(?:#|//|/?\*|;|--)[^\n]*+\n?)++"
 LICENCE_FILE = r"(?i)^(?:licen[cs]e|copying|unlicense|notice)(?:[._-][^/]*)?$"
 #: Statements by which licences are known: names, short headers and the opening of the texts.
 TEMPLATES = [
@@ -62,9 +64,8 @@ def weighted(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 
 def statements(files: DataFrame, whole: Column) -> DataFrame:
     """(path, statement) of files (path, text): see the module's text; ``whole`` marks licence files."""
-    block = lambda t: F.element_at(F.split(t, r"\n[ \t\r]*\n", 2), 1)
     spoken = F.filter(F.split("text", "\n"), lambda x: x.rlike(SPEAKS))
-    header = F.when(block(F.col("text")).rlike(SPEAKS), F.array(block(F.col("text")))).otherwise(F.array().cast("array<string>"))
+    header = F.filter(F.regexp_extract_all("text", F.lit(COMMENTS), F.lit(0)), lambda x: x.rlike(SPEAKS))
     found = F.array_distinct(F.concat(spoken, F.when(whole, F.array("text")).otherwise(header)))
     rows = files.where("text is not null").where(whole | F.col("text").rlike(SPEAKS))
     return rows.select("path", F.explode(found).alias("statement"))
