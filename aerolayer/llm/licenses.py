@@ -63,30 +63,33 @@ def weighted(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
 
 
 def statements(files: DataFrame, whole: Column) -> DataFrame:
-    """(path, statement) of files (path, text): see the module's text; ``whole`` marks licence files."""
+    """(path, statement, sid) of files (path, text): see the module's text; ``whole`` marks licence files."""
     spoken = F.filter(F.split("text", "\n"), lambda x: x.rlike(SPEAKS))
     header = F.filter(F.regexp_extract_all("text", F.lit(COMMENTS), F.lit(0)), lambda x: x.rlike(SPEAKS))
     found = F.array_distinct(F.concat(spoken, F.when(whole, F.array("text")).otherwise(header)))
     rows = files.where("text is not null").where(whole | F.col("text").rlike(SPEAKS))
-    return rows.select("path", F.explode(found).alias("statement"))
+    return rows.select("path", F.explode(found).alias("statement")).withColumn("sid", F.md5("statement"))
 
 
 def recognised(found: DataFrame, scratch: Scratch) -> DataFrame:
-    """(statement, license, similarity) of those at SIMILARITY or more, over distinct statements."""
+    """(sid, license, similarity) of those at SIMILARITY or more, over distinct statements.
+
+    Terms go by the statement's digest: a statement's text is never repeated for each of its terms.
+    """
     spark = found.sparkSession
-    distinct = scratch.write(found.groupBy("statement").agg(F.count("*").alias("files")), "statements")
+    distinct = scratch.write(found.groupBy("sid").agg(F.first("statement").alias("statement")), "statements")
     templates = spark.createDataFrame([(i, *t) for i, t in enumerate(TEMPLATES)], "template int, license string, words string")
     count = lambda rows, key, text: rows.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    ours = scratch.write(count(distinct, "statement", "statement"), "terms")
+    ours = scratch.write(count(distinct, "sid", "statement"), "terms")
     theirs = count(templates, "template", "words")
     n = distinct.count() + len(TEMPLATES)
     df = ours.select("term").unionByName(theirs.select("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = scratch.write(df.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")), "idf")
     # Every term of a statement counts for its length; only terms of templates meet them.
-    pairs = weighted(ours, idf, "statement").alias("a").join(weighted(theirs, idf, "template").alias("b"), "term")
-    cosines = pairs.groupBy("statement", "template").agg(F.sum(F.col("a.w") * F.col("b.w")).alias("cosine")).where(F.col("cosine") >= SIMILARITY)
-    best = cosines.join(templates, "template").groupBy("statement").agg(F.max(F.struct(F.round("cosine", 9).alias("cosine"), (-F.col("template")).alias("t"), "license")).alias("best"))
-    return best.select("statement", F.col("best.license").alias("license"), F.col("best.cosine").alias("similarity"))
+    pairs = weighted(ours, idf, "sid").alias("a").join(weighted(theirs, idf, "template").alias("b"), "term")
+    cosines = pairs.groupBy("sid", "template").agg(F.sum(F.col("a.w") * F.col("b.w")).alias("cosine")).where(F.col("cosine") >= SIMILARITY)
+    best = cosines.join(templates, "template").groupBy("sid").agg(F.max(F.struct(F.round("cosine", 9).alias("cosine"), (-F.col("template")).alias("t"), "license")).alias("best"))
+    return best.select("sid", F.col("best.license").alias("license"), F.col("best.cosine").alias("similarity"))
 
 
 def scan(files: DataFrame) -> DataFrame:
@@ -103,7 +106,7 @@ def scan(files: DataFrame) -> DataFrame:
     name = F.element_at(F.split("path", "/"), -1)
     found = scratch.write(statements(rows, F.coalesce(name.rlike(LICENCE_FILE), F.lit(False))), "found")
     known = recognised(found, scratch)
-    own = found.where("path is not null").join(known, "statement").groupBy("path").agg(F.max(F.struct("similarity", "license")).alias("own"))
+    own = found.where("path is not null").select("path", "sid").join(known, "sid").groupBy("path").agg(F.max(F.struct("similarity", "license")).alias("own"))
     own = scratch.write(own.select("path", "own.license", "own.similarity"), "own")
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     given = own.where(F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE)).groupBy(folder.alias("dir")).agg(F.min(F.struct((-F.col("similarity")).alias("s"), "path", "license")).alias("g"))
@@ -141,3 +144,28 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     hundred = F.element_at(F.split("path", "/"), -2).cast("long")
     ids = F.when(name == "LICENSE", hundred * 100).otherwise(F.regexp_extract(name, "^([0-9]+)", 1).cast("long"))
     return scan(rows).select(ids.alias("doc_id"), "path", "license", "similarity", "origin", "licence_dir")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+SQL = f"""WITH tpl(template, license, words) AS (VALUES {", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(TEMPLATES))}),
+d AS (SELECT doc_id, text, coalesce(source, 'none') || '/' || (doc_id // 1000) || '/' || (doc_id // 100) || '/' || CASE WHEN doc_id % 100 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS path FROM documents),
+st AS (SELECT path, s FROM (SELECT path, unnest(string_split(text, chr(10))) AS s FROM d) WHERE regexp_matches(s, {_quoted(SPEAKS)})
+  UNION SELECT path, s FROM (SELECT path, unnest(regexp_extract_all(text, {_quoted(COMMENTS.replace("*+", "*").replace("++", "+"))})) AS s FROM d WHERE path NOT LIKE '%/LICENSE') WHERE regexp_matches(s, {_quoted(SPEAKS)})
+  UNION SELECT path, text FROM d WHERE path LIKE '%/LICENSE' AND text IS NOT NULL),
+ds AS (SELECT DISTINCT s FROM st), total AS (SELECT count(*) + {len(TEMPLATES)} AS n FROM ds),
+ours AS (SELECT s, w, count(*) AS tf FROM (SELECT s, unnest(regexp_split_to_array(lower(s), '[^a-z0-9]+')) AS w FROM ds) WHERE w <> '' GROUP BY s, w),
+theirs AS (SELECT template, w, count(*) AS tf FROM (SELECT template, unnest(regexp_split_to_array(lower(words), '[^a-z0-9]+')) AS w FROM tpl) WHERE w <> '' GROUP BY template, w),
+idf AS (SELECT w, ln((1.0::DOUBLE + any_value(n)) / (1.0::DOUBLE + count(*))) + 1.0 AS idf FROM (SELECT w FROM ours UNION ALL SELECT w FROM theirs), total GROUP BY w),
+a AS (SELECT s, w, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY s)) AS x FROM ours JOIN idf USING (w)),
+b AS (SELECT template, w, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS x FROM theirs JOIN idf USING (w)),
+c AS (SELECT s, template, round(sum(a.x * b.x), 9) AS cosine FROM a JOIN b USING (w) GROUP BY s, template HAVING sum(a.x * b.x) >= {SIMILARITY}),
+known AS (SELECT s, license, cosine AS similarity FROM c JOIN tpl USING (template) QUALIFY row_number() OVER (PARTITION BY s ORDER BY cosine DESC, template) = 1),
+own AS (SELECT path, license, similarity FROM st JOIN known USING (s) QUALIFY row_number() OVER (PARTITION BY path ORDER BY similarity DESC, license DESC) = 1),
+given AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, license, similarity FROM own WHERE path LIKE '%/LICENSE'),
+taken AS (SELECT d.path, g.dir, g.license, g.similarity FROM d JOIN given g ON starts_with(d.path, g.dir || '/') QUALIFY row_number() OVER (PARTITION BY d.path ORDER BY length(g.dir) DESC) = 1)
+SELECT d.doc_id, d.path, coalesce(own.license, taken.license) AS license, coalesce(own.similarity, taken.similarity) AS similarity,
+  CASE WHEN own.path IS NOT NULL THEN 'own' WHEN taken.path IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin, CASE WHEN own.path IS NULL THEN taken.dir END AS licence_dir
+FROM d LEFT JOIN own ON own.path = d.path LEFT JOIN taken ON taken.path = d.path"""

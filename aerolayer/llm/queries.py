@@ -27,4 +27,4 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_licenses": licenses.SQL}
