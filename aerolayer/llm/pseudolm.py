@@ -122,16 +122,13 @@ class Network:
             x += self.w[k][c]
         return np.tanh(x, out=x)
 
-    def log_probabilities(self, context: tuple[np.ndarray, ...], target: np.ndarray) -> np.ndarray:
-        """log p(target class | context) of each word."""
-        out = np.empty(len(target), np.float32)
-        for at in range(0, len(target), 16384):
-            s = slice(at, at + 16384)
-            z = self.hidden(tuple(c[s] for c in context)) @ self.w["out"] + self.w["bias"]
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), target[s]]
-            out[s] = own - np.log(np.exp(z, out=z).sum(axis=1))
-        return out
+    def table(self) -> np.ndarray:
+        """log p(class | context) for every context and class, by cell id: contexts are few."""
+        r2, rest = np.arange(CELLS // CLASSES) % OUTER_IDS, np.arange(CELLS // CLASSES) // OUTER_IDS
+        r1, rest = rest % INNER_IDS, rest // INNER_IDS
+        z = self.hidden((rest // INNER_IDS, rest % INNER_IDS, r1, r2)) @ self.w["out"] + self.w["bias"]
+        z -= z.max(axis=1, keepdims=True)
+        return (z - np.log(np.exp(z).sum(axis=1, keepdims=True))).ravel()
 
 
 def train(cells: np.ndarray, counts: np.ndarray) -> Network:
@@ -210,10 +207,9 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
         class_of, buckets = shared.value[0], Buckets()
         total = np.zeros(CELLS, np.int64)
         for b in batches:
-            for texts in parts(b.column(0).to_pylist(), 200_000):
+            for texts in parts(b.column(0).to_pylist()):
                 flat, sizes = buckets(texts)
-                found, n = np.unique(cell_ids(class_of[flat].astype(np.int64), sizes), return_counts=True)
-                total[found] += n
+                total += np.bincount(cell_ids(class_of[flat].astype(np.int64), sizes), minlength=CELLS)
         yield from nonzero(total)
 
     net = train(*summed(rows.select("text"), cells))
@@ -221,13 +217,12 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
 
     def score(batches):
         class_of, within, weights = model.value
-        network, buckets = Network(weights), Buckets()
+        table, buckets = Network(weights).table(), Buckets()
         for b in batches:
             sums, tokens = [], []
-            for texts in parts(b.column(1).to_pylist(), 200_000):
+            for texts in parts(b.column(1).to_pylist(), 500_000):
                 flat, sizes = buckets(texts)
-                classes = class_of[flat].astype(np.int64)
-                p = network.log_probabilities(contexts(classes, sizes), classes).astype(np.float64) + within[flat]
+                p = table[cell_ids(class_of[flat].astype(np.int64), sizes)].astype(np.float64) + within[flat]
                 p = np.concatenate(([0.0], np.cumsum(p)))
                 end = np.cumsum(sizes)
                 sums.append(p[end] - p[end - sizes])
