@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,24 +30,20 @@ CELLS = OUTER_IDS * INNER_IDS * INNER_IDS * OUTER_IDS * CLASSES
 DIM, EPOCHS, BATCH, SEED = 24, 8, 4096, 5
 
 
-class Buckets:
-    """The hash bucket of each word of texts, remembering words seen."""
+class Buckets(dict):
+    """The hash bucket of each word of texts; a bounded number of words is remembered."""
 
-    def __init__(self):
-        self.seen: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        bucket = zlib.crc32(word) % BUCKETS
+        if len(self) < 500_000:
+            self[word] = bucket
+        return bucket
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of all words, and the number of words of each text."""
-        if len(self.seen) > 500_000:
-            self.seen = {}
         docs = [(t or b"").lower().split() for t in texts]
-        seen = self.seen
-        for d in docs:
-            for w in d:
-                if w not in seen:
-                    seen[w] = zlib.crc32(w) % BUCKETS
-        flat = np.array([b for d in docs for b in map(seen.__getitem__, d)], np.int64)
-        return flat, np.array([len(d) for d in docs], np.int64)
+        sizes = np.array([len(d) for d in docs], np.int64)
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(sizes.sum())), sizes
 
 
 def parts(texts: list, words: int = 2_000_000):
