@@ -8,6 +8,7 @@ import logging
 import sys
 
 from .functions.grid import RESOLUTIONS
+from .operators.packages import SUBFOLDERS
 from .sources.listing import CHART_TYPES
 
 
@@ -60,6 +61,21 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--root-url", required=True)
     c.add_argument("--cycle")
     c.add_argument("--chart-type", action="append")
+    c = sub.add_parser("fetch")
+    c.add_argument("--root-url", required=True)
+    c.add_argument("--cycle")
+    c.add_argument("--chart-type", action="append")
+    c.add_argument("--output-dir", required=True)
+    c.add_argument("--force", action="store_true")
+    c.add_argument("--no-extract", action="store_true")
+    c.add_argument("--dry-run", action="store_true")
+    for name in ("slope", "true-color", "chart-mask"):
+        c = sub.add_parser(name, help="of rasters as rows in Parquet: raster, row, col and v (or r, g, b)")
+        c.add_argument("--input", required=True)
+        c.add_argument("--output", required=True)
+        c.add_argument("--slope-threshold", type=float, default=10.0)
+        c.add_argument("--smooth-kernel", type=int, default=0)
+        c.add_argument("--pixel-size", type=float, default=1.0)
     c = sub.add_parser("region-mosaics")
     c.add_argument("--mapping-json", required=True)
     c.add_argument("--processed-root", required=True)
@@ -100,6 +116,17 @@ def main(argv: list[str] | None = None) -> int:
         elif a.command == "fetch-plan":
             cycle, specs = api.fetch_plan(spark, a.root_url, cycle=a.cycle, chart_types=a.chart_type)
             print(json.dumps({"cycle": cycle, "packages": [r.asDict() for r in specs.toLocalIterator()]}))
+        elif a.command == "fetch":
+            types = a.chart_type or list(SUBFOLDERS)
+            cycle, specs = api.fetch_plan(spark, a.root_url, cycle=a.cycle, chart_types=types)
+            print(json.dumps(api.fetch(spark, specs, cycle, types, a.root_url, a.output_dir, force=a.force, extract=not a.no_extract, dry_run=a.dry_run)))
+        elif a.command in ("slope", "true-color", "chart-mask"):
+            rows = spark.read.parquet(a.input)
+            if a.command == "slope":
+                out = api.slope_layer(rows, ["raster"], a.slope_threshold, a.smooth_kernel, a.pixel_size, a.pixel_size)
+            else:
+                out = api.true_color_layer(rows) if a.command == "true-color" else api.chart_masks(rows, ["raster"])
+            out.write.parquet(a.output)
         elif a.command == "region-mosaics":
             plan, missing = api.region_mosaics(spark, a.mapping_json, a.processed_root, a.chart_type, a.file_match_token)
             for r in missing.toLocalIterator():

@@ -100,16 +100,18 @@ def geometry_of_corners(corners: Column) -> Column:
     polygons is an array of rings, one for a Polygon.
     """
     ring = unwrap(F.array(*[corners[k] for k in ("SW", "NW", "NE", "SE")]).cast(RING))
-
-    def split(r: Column) -> Column:
-        at = antimeridian(r)
-        west, east = clip(r, at, True), clip(r, at, False)
-        left = shift(west, F.when(at == 180.0, 0.0).otherwise(360.0))
-        right = shift(east, F.when(at == 180.0, -360.0).otherwise(0.0))
-        parts = F.filter(F.array(left, right), lambda p: F.size(dedupe(p)) >= 3)
-        return F.when(at.isNull(), F.array(finish(r))).otherwise(F.transform(parts, finish))
-
-    polygons = F.element_at(F.transform(F.array(ring), split), 1)
+    # Transforms over one element compute each part once, however often it is used.
+    once = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)
+
+    def split(c: Column) -> Column:
+        r, at = c["ring"], c["at"]
+        left = shift(clip(r, at, True), F.when(at == 180.0, 0.0).otherwise(360.0))
+        right = shift(clip(r, at, False), F.when(at == 180.0, -360.0).otherwise(0.0))
+        parts = F.filter(F.transform(F.array(left, right), dedupe), lambda p: F.size(p) >= 3)
+        return F.when(at.isNull(), F.array(r)).otherwise(parts)
+
+    whole = once(ring, lambda r: once(F.struct(r.alias("ring"), antimeridian(r).alias("at")), split))
+    polygons = F.transform(whole, finish)
     return F.struct(F.when(F.size(polygons) == 1, "Polygon").otherwise("MultiPolygon").alias("type"), polygons.alias("polygons"))
 
 

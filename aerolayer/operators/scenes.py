@@ -36,3 +36,9 @@ def overlay(pixels: DataFrame, keys: list[str], order: str, precedence: str = "l
 def level_stats(tiles: DataFrame, z: str = "z", data: str = "has_data") -> DataFrame:
     """(z, total, rendered, empty) of each level, and of all with a null z."""
     return tiles.rollup(z).agg(F.count("*").alias("total"), F.count_if(F.col(data)).alias("rendered"), F.count_if(~F.col(data)).alias("empty"))
+
+
+def archive_stats(tiles: DataFrame) -> DataFrame:
+    """Zoom range, tiles and bytes of tiles (z, has_data, data) that an archive would hold."""
+    full = tiles.where("has_data")
+    return full.agg(F.min("z").alias("min_zoom"), F.max("z").alias("max_zoom"), F.count("*").alias("tiles"), F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("bytes"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import os
+import urllib.request
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from ..functions import grid, rings, text, tone
 from ..functions.features import to_features
 from ..functions.projection import crs_name, from_lambert
 from ..operators import charts, packages, scenes
-from ..raster import longform
+from ..raster import kernels, longform
 from ..raster.render import render_tiles
 from ..sinks import archive, geojson
 from ..sources import coverage, listing, navaids, obstacles, web
@@ -87,6 +89,31 @@ def fetch_manifest(results: DataFrame, cycle: str, chart_types: list[str], root_
     return geojson.manifest(results, cycle, chart_types, root_url, dt.datetime.now(dt.UTC).isoformat())
 
 
+def fetch(spark: SparkSession, specs: DataFrame, cycle: str, chart_types: list[str], root_url: str, folder: str, opener=None, force: bool = False, extract: bool = True, dry_run: bool = False) -> dict:
+    """Downloads and unpacks packages that are not there yet, and writes the manifest; returns it.
+
+    There are some hundred packages of a cycle, so the driver fetches them one after another.
+    """
+    rows = specs.withColumn("zip_path", F.concat("chart_type", F.lit("/"), "zip_name"))
+    there = [(r.zip_path, os.path.getsize(p)) for r in rows.collect() if os.path.exists(p := os.path.join(folder, r.zip_path))]
+    planned = packages.with_status(rows, spark.createDataFrame(there, "zip_path string, size long"), not force, dry_run)
+    results = []
+    for r in planned.orderBy("chart_type", "folder_name").collect():
+        target, got, files = os.path.join(folder, r.zip_path), {"headers": {}}, 0
+        if r.downloaded:
+            got = packages.download(r.url, target, opener or urllib.request.urlopen)
+        if r.downloaded and extract:
+            files = packages.safe_unzip(target, os.path.join(folder, r.chart_type, r.folder_name))
+        h = got["headers"]
+        size = os.path.getsize(target) if os.path.exists(target) else None
+        length = h.get("content-length", "")
+        results.append((r.chart_type, r.zip_name, r.folder_name, r.url, r.zip_path, r.status, r.downloaded, files, size, int(length) if length.strip().isdigit() else None, h.get("etag"), h.get("last-modified")))
+    schema = "chart_type string, zip_name string, folder_name string, url string, zip_path string, status string, downloaded boolean, extracted_files int, size_bytes long, content_length long, etag string, last_modified string"
+    out = fetch_manifest(spark.createDataFrame(results, schema), cycle, chart_types, root_url)
+    geojson.write_json(out, os.path.join(folder, f"fetch-manifest-{cycle}.json"), sort_keys=True)
+    return out
+
+
 def preprocess_jobs(spark: SparkSession, raw: str, masks: DataFrame, requested: list[str] | None, all_charts: bool = False, chart_types: list[str] | None = None, continue_on_error: bool = False) -> tuple[DataFrame, DataFrame]:
     """(jobs, failures) of charts below a folder; a chart without a mask raises unless failures may go on."""
     found = listing.discover(listing.read_listing(spark, raw), text.normalized_list(chart_types, listing.CHART_TYPES))
@@ -121,9 +148,25 @@ def true_color_layer(bands: DataFrame, r: str = "r", g: str = "g", b: str = "b")
     return bands.withColumn("__p", tone.true_color(F.col(r), F.col(g), F.col(b))).select(*keep, "__p.r", "__p.g", "__p.b", "__p.a")
 
 
-def mosaic_run(pending: DataFrame, results: DataFrame) -> DataFrame:
-    """The summary of runs by quarter (results: quarter, status)."""
-    return scenes.quarter_summary(results)
+def chart_layers(pixels: DataFrame, palette: DataFrame, geo, cutline) -> tuple[DataFrame, DataFrame]:
+    """(full, clipped) colours of a chart's palette indexes: the coloured pixels are kept for both, as a tee.
+
+    pixels: keys, row, col, index; geo and cutline are columns as clip_to_polygon takes them.
+    """
+    full = longform.apply_palette(pixels, palette).persist()
+    return full, longform.clip_to_polygon(full, geo, cutline)
+
+
+def quarter_report(runs: DataFrame) -> list[dict]:
+    """For each quarter: counts of runs by status, and its regions with theirs (runs: quarter, region, status)."""
+    packed = runs.groupBy("quarter").agg(F.array_sort(F.collect_list(F.struct("region", "status"))).alias("regions"))
+    rows = scenes.quarter_summary(runs).join(packed, "quarter").orderBy("quarter")
+    return list(geojson.rows_of(rows))
+
+
+def chart_masks(pixels: DataFrame, keys: list[str], options: kernels.MaskOptions | None = None) -> DataFrame:
+    """(keys, row, col, on): the area of each chart of palette indexes ``v``."""
+    return kernels.per_raster(pixels, keys, "v", lambda a: {"on": kernels.chart_mask(a.astype("uint8"), options)[0]}, "on boolean")
 
 
 def wgs84_bounds(spark: SparkSession, bounds: tuple[float, float, float, float]) -> tuple[float, float, float, float]:

@@ -165,3 +165,22 @@ def downsample(pixels: DataFrame, keys: list[str], most: int) -> DataFrame:
     pick = lambda c, n, m: F.filter(F.transform(F.sequence(F.greatest(F.floor(F.col(c) * F.col(m) / F.col(n)).cast("int") - 1, F.lit(0)), F.least(F.floor(F.col(c) * F.col(m) / F.col(n)).cast("int") + 1, F.col(m) - 1)), lambda j: F.struct(j.alias("j"), F.floor((j + 0.5) * F.col(n) / F.col(m)).cast("int").alias("o"))), lambda s: s["o"] == F.col(c))
     rows = rows.withColumn("__r", pick("row", "__h", "__nh")).withColumn("__c", pick("col", "__w", "__nw")).where("size(__r) > 0 and size(__c) > 0")
     return rows.withColumn("row", F.col("__r")[0]["j"]).withColumn("col", F.col("__c")[0]["j"]).drop("__h", "__w", "__f", "__nh", "__nw", "__r", "__c")
+
+
+def reproject(pixels: DataFrame, keys: list[str], source: list[float], target: list[float], rows: int, cols: int, inverse=None) -> DataFrame:
+    """(keys, row, col, v) on a target grid: each pixel takes the nearest of the source, others stay out.
+
+    source and target are six affine coefficients without rotation; inverse maps target coordinates (x, y) to
+    source coordinates, as a struct of two; by default from the conic projection to degrees.
+    """
+    from ..functions.projection import from_lambert
+
+    turn = inverse or from_lambert
+    spark = pixels.sparkSession
+    grid = spark.range(rows).select(F.col("id").cast("int").alias("row")).select("row", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("col"))
+    at = turn(F.lit(target[0]) + (F.col("col") + 0.5) * target[1], F.lit(target[3]) + (F.col("row") + 0.5) * target[5])
+    grid = grid.withColumn("__p", at)
+    x, y = (F.col("__p").getField(f) for f in grid.schema["__p"].dataType.names)
+    grid = grid.withColumn("__c", F.floor((x - source[0]) / source[1]).cast("int")).withColumn("__r", F.floor((y - source[3]) / source[5]).cast("int")).drop("__p")
+    seen = pixels.withColumnRenamed("row", "__r").withColumnRenamed("col", "__c")
+    return grid.join(seen, ["__r", "__c"]).drop("__r", "__c")
