@@ -17,6 +17,21 @@ LETTERS = bytes(
 )
 
 
+def release() -> None:
+    """Gives freed memory of a Python worker back before it waits for its next task."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; a local one only where that is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import Scratch, table
+from .common import Scratch, release, table
 
 #: Later copies of runs with more words than this go.
 WORDS = 50
@@ -44,6 +44,7 @@ def line_table(docs: DataFrame) -> DataFrame:
                     [b.column(0).take(pa.array(rows[s])), pa.array(h[s]), pa.array(p[s].astype(np.int32)), pa.array(n[s, 0].copy()), pa.array(n[s, 1].copy())],
                     ["d", "h", "p", "n1", "n2"],
                 )
+        release()
 
     rows = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("d"), F.col("text").cast("binary").alias("t")

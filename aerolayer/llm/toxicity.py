@@ -3,8 +3,8 @@
 Inputs are words and their characters: each word is a hashed word vector plus the mean of the hashed
 vectors of its character trigrams (with boundary marks), both learned.  All overlapping windows of WINDOW
 words (every STRIDE words, the last one flush with the end) are scored, and the most toxic window scores
-the document.  Training sees documents as bags of windows: in each epoch the highest window of a bag, by
-the network so far, gets the gradient, and one more window of the clean ones.
+the document.  Training sees documents as bags of windows: the highest window of a bag, as ranked
+by the network in every second epoch, gets the gradient, and one more window of the clean ones.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Scratch, table
+from .common import LETTERS, release, table
 
 WINDOW, STRIDE = 32, 16
 DIM, HIDDEN = 16, 8
@@ -25,6 +25,8 @@ WORD_ROWS, GRAM_ROWS = 1 << 13, 1 << 13
 #: The classifier is fitted on at most so many toxic and clean documents, and windows of each.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WINDOWS = 2000, 4000, 16
 EPOCHS, BATCH, SEED = 14, 128, 3
+#: Words whose inputs a task remembers.
+CACHED_WORDS = 100_000
 #: Documents at this score or above count as toxic.
 THRESHOLD = 0.7
 
@@ -38,6 +40,23 @@ def grams(word: bytes) -> list[int]:
     return [zlib.crc32(w[i : i + 3]) % GRAM_ROWS for i in range(max(1, len(w) - 2))]
 
 
+Features = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def features_of(words: list[bytes]) -> Features:
+    """Word rows, rows of all trigrams, and the number of trigrams of each word."""
+    lists = [grams(w) for w in words]
+    return np.array([zlib.crc32(w) % WORD_ROWS for w in words]), np.array([i for g in lists for i in g]), np.array([len(g) for g in lists])
+
+
+def subset(f: Features, at: np.ndarray) -> Features:
+    rows, flat, sizes = f
+    n = sizes[at]
+    begin = (np.cumsum(sizes) - sizes)[at]
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return rows[at], flat[np.repeat(begin, n) + inner], n
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -59,16 +78,13 @@ class Network:
 
     def __init__(self, weights: dict[str, np.ndarray] | None = None):
         rng = np.random.default_rng(SEED)
-        scale = {"word": 0.1, "gram": 0.3, "b": 0, "bias": 0, "att": 0.3}
+        scale = {"word": 0, "gram": 0.03, "b": 0, "bias": 0, "att": 0.3}
         self.w = weights or {k: (rng.normal(0, scale.get(k, 0.35), s)).astype(np.float32) for k, s in self.SHAPES.items()}
 
-    def inputs(self, words: list[bytes]) -> np.ndarray:
+    def inputs(self, f: Features) -> np.ndarray:
         """A vector for each word."""
-        x = self.w["word"][[zlib.crc32(w) % WORD_ROWS for w in words]]
-        lists = [grams(w) for w in words]
-        sizes = np.array([len(g) for g in lists])
-        flat = self.w["gram"][[i for g in lists for i in g]]
-        return x + np.add.reduceat(flat, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+        rows, flat, sizes = f
+        return self.w["word"][rows] + np.add.reduceat(self.w["gram"][flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
 
     def states(self, steps: list[np.ndarray], mask: np.ndarray | None, keep: bool = False) -> tuple[np.ndarray, list]:
         """steps: z, r and candidate inputs, each (2, T, N, H), the backward direction in reversed order.
@@ -134,11 +150,11 @@ class Network:
             out[i] = self.pool(self.states(self.steps(gates, ids[i]), mask)[0], mask)[0]
         return out
 
-    def gradients(self, unique: list[bytes], ids: np.ndarray, lengths: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, unique: Features, ids: np.ndarray, lengths: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Of the weighted cross entropy of windows ids (N, T) over words ``unique``."""
         w, h3 = self.w, HIDDEN
         used, local = np.unique(ids, return_inverse=True)
-        local, words = local.reshape(ids.shape), [unique[i] for i in used]
+        local, words = local.reshape(ids.shape), subset(unique, used)
         x = self.inputs(words)
         mask = window_mask(lengths, ids.shape[1])
         states, cache = self.states(self.steps(self.projected(x), local), mask, keep=True)
@@ -174,10 +190,8 @@ class Network:
             np.add.at(flat, (at if k == 0 else at[::-1]).ravel(), dpre[k].reshape(-1, 3 * h3))
             g["wx"][k] = x.T @ flat
             dx = flat @ w["wx"][k].T
-            np.add.at(g["word"], [zlib.crc32(v) % WORD_ROWS for v in words], dx)
-            lists = [grams(v) for v in words]
-            sizes = np.array([len(v) for v in lists])
-            np.add.at(g["gram"], [i for v in lists for i in v], np.repeat(dx / sizes[:, None], sizes, axis=0))
+            np.add.at(g["word"], words[0], dx)
+            np.add.at(g["gram"], words[1], np.repeat(dx / words[2][:, None].astype(np.float32), words[2], axis=0))
         return g
 
 
@@ -198,24 +212,30 @@ class Model:
         """Scores of lists of whole texts."""
         net = Network(self.weights) if self.weights else None
         seen: dict[bytes, int] = {}
-        gates: list[np.ndarray] = []
+        gates = [np.empty((2, 0, HIDDEN), np.float32)] * 3
         for texts in batches:
             if net is None:
                 yield np.full(len(texts), sigmoid(np.float64(self.shift)))
                 continue
-            if len(seen) > 300_000:
-                seen, gates = {}, []
+            if len(seen) > CACHED_WORDS:
+                seen = {}
             docs = [words_of(t) for t in texts]
-            fresh = list({w for d in docs for w in d if w not in seen} | ({b""} - seen.keys()))
+            fresh = [w for w in {b""}.union(*docs) if w not in seen]
             if fresh:
-                new = net.projected(net.inputs(fresh))
-                gates = [np.concatenate([a, b], axis=1) for a, b in zip(gates, new, strict=True)] if gates else new
-                seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh)), strict=True))
+                need = len(seen) + len(fresh)
+                if need > gates[0].shape[1]:
+                    room = [np.empty((2, need + need // 2, HIDDEN), np.float32) for _ in gates]
+                    for a, b in zip(room, gates, strict=True):
+                        a[:, : len(seen)] = b[:, : len(seen)]
+                    gates = room
+                for a, b in zip(gates, net.projected(net.inputs(features_of(fresh))), strict=True):
+                    a[:, len(seen) : need] = b
+                seen.update(zip(fresh, range(len(seen), need), strict=True))
             top = np.empty(len(docs))
             at = 0
-            while at < len(docs):  # some hundred thousand words at a time
+            while at < len(docs):  # a hundred thousand words at a time
                 upto, n = at, 0
-                while upto < len(docs) and (upto == at or n < 200_000):
+                while upto < len(docs) and (upto == at or n < 100_000):
                     n += len(docs[upto])
                     upto += 1
                 top[at:upto] = self._highest(net, gates, seen, docs[at:upto])
@@ -225,7 +245,11 @@ class Model:
     @staticmethod
     def _highest(net: Network, gates, seen, docs) -> np.ndarray:
         blank = seen[b""]
-        padded = np.array([i for d in docs for i in (*map(seen.__getitem__, d), *[blank] * max(0, WINDOW - len(d)))], np.int64)
+        flat: list[int] = []
+        for d in docs:
+            flat.extend(map(seen.__getitem__, d))
+            flat.extend([blank] * (WINDOW - len(d)))
+        padded = np.array(flat, np.int64)
         sizes = np.array([len(d) for d in docs])
         offsets = np.concatenate(([0], np.cumsum(np.maximum(sizes, WINDOW))))[:-1]
         starts = [window_starts(n) for n in sizes.tolist()]
@@ -239,20 +263,20 @@ class Model:
         return np.maximum.reduceat(top, np.cumsum(counts) - counts)
 
 
-def train(bags: list[tuple[list[list[bytes]], int]]) -> Model:
-    """bags: windows of words, and the label, of each document."""
+def train(bags: list[tuple[list[bytes], int]]) -> Model:
+    """bags: windows (words joined by spaces), and the label, of each document."""
     y = np.array([b[1] for b in bags])
     if len(set(y.tolist())) < 2:
         rate = (y.sum() + 0.1) / (len(y) + 1) if len(y) else 0.05
         return Model(None, 0, float(np.log(rate / (1 - rate))))
-    vocabulary = {w: i for i, w in enumerate(sorted({w for b, _ in bags for win in b for w in win} | {b""}))}
-    unique = list(vocabulary)
+    vocabulary: dict[bytes, int] = {b"": 0}
     owner = np.repeat(np.arange(len(bags)), [len(b) for b, _ in bags])
-    flat = [win for b, _ in bags for win in b]
-    lengths = np.array([len(win) for win in flat])
-    ids = np.full((len(flat), WINDOW), vocabulary[b""])
-    for row, win in zip(ids, flat, strict=True):
-        row[: len(win)] = [vocabulary[w] for w in win]
+    ids, lengths = np.zeros((len(owner), WINDOW), np.int32), np.zeros(len(owner), np.int64)
+    for row, win in enumerate(win for b, _ in bags for win in b):
+        words = win.split()
+        lengths[row] = len(words)
+        ids[row, : len(words)] = [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+    unique = features_of(list(vocabulary))
     rng, net = np.random.default_rng(SEED), Network()
     fit = np.ones(len(bags), bool)
     for label in (0, 1):  # a fifth of each label calibrates the threshold
@@ -263,14 +287,13 @@ def train(bags: list[tuple[list[list[bytes]], int]]) -> Model:
     m, v = ({k: np.zeros_like(x) for k, x in net.w.items()} for _ in range(2))
     step = 0
     begin = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(bags)))))
-    epochs = EPOCHS if len(flat) > 20_000 else 3 * EPOCHS
+    epochs = EPOCHS if len(owner) > 20_000 else 3 * EPOCHS
     for epoch in range(epochs):
-        noise = np.random.default_rng(epoch).random(len(flat))
-        if epoch:
-            ranking = net.logits(net.projected(net.inputs(unique)), ids, lengths) + 0.01 * noise
-        else:
-            ranking = noise
-        order = np.lexsort((ranking, owner))
+        noise = np.random.default_rng(epoch).random(len(owner))
+        if epoch == 0:
+            order = np.lexsort((noise, owner))
+        elif epoch % 2:
+            order = np.lexsort((net.logits(net.projected(net.inputs(unique)), ids, lengths) + 0.01 * noise, owner))
         chosen = order[begin[1:] - 1]
         again = order[begin[:-1] + (noise[: len(bags)] * (begin[1:] - begin[:-1])).astype(int)]
         chosen = np.concatenate((chosen[fit], again[fit & (y == 0)]))
@@ -325,7 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(picked, "doc_id")
     got = rows.mapInArrow(windows, "doc_id long, windows array<binary>, toxic int").toArrow()
     got = sorted(zip(*(got.column(k).to_pylist() for k in range(3)), strict=True), key=lambda r: (r[0], r[1]))
-    return train([([w.split() for w in r[1]], r[2]) for r in got])
+    return train([(r[1], r[2]) for r in got])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -336,18 +359,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         def texts():
             for b in batches:
-                for at in range(0, max(1, b.num_rows), 1000):
-                    part = b.slice(at, 1000)
+                for at in range(0, b.num_rows, 250):
+                    part = b.slice(at, 250)
                     held.append(part)
-                    yield part.column(part.num_columns - 1).to_pylist()
+                    yield part.column(keep.index("text")).cast(pa.binary()).to_pylist()
 
         held: list = []
         for s in Model(*shared.value).scores(texts()):
             part = held.pop()
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(s, pa.float64())], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(s, pa.float64())], [*keep, "score"])
+        release()
 
     schema = docs.select(*keep).schema.add("score", "double")
-    return docs.select(*keep, F.col("text").cast("binary").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
