@@ -17,14 +17,17 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, table
+from .common import Scratch, connected_components, release, table
 
 #: Fingerprints read on the driver to choose the vantage points of the upper levels.
 SAMPLE = 4096
 #: Fingerprints in a leaf, compared with one another.
 LEAF = 512
 #: Bands of the similarity stage, shingles sampled for each, words in a shingle, least similarity.
-BANDS, ROWS, WORDS, SIMILARITY = 7, 3, 5, 0.8
+BANDS, ROWS, WORDS, SIMILARITY = 12, 3, 5, 0.8
+#: Bins of a sketch; pairs whose estimate falls MARGIN short of SIMILARITY are not verified (over three standard
+#: deviations); members compared in one task at a time; leaders that a member is verified against.
+BINS, MARGIN, CHUNK, TOP = 128, 0.12, 2048, 3
 
 
 def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
@@ -209,23 +212,28 @@ def near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3) -> DataFrame:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, size, fp, bands): what the similarity stage knows of each text.
+    """(doc_id, body, size, fp, bands, sketch): what the similarity stage knows of each text.
 
     body names the normalised word sequence, size counts its distinct shingles of WORDS words, fp is their
     SimHash, and bands holds the SimHash of ROWS min-wise sampled shingles for each of BANDS bands: texts
-    that share SIMILARITY of their shingles agree in some band with probability 1 - (1 - 0.8**3)**7 = 0.993.
+    that share SIMILARITY of their shingles agree in some band with probability 1 - (1 - 0.8**3)**12 = 0.9998.
+    sketch has 16 bits of the least hash in each of BINS bins, 0 for empty bins.
     """
 
     def run(batches):
         mix = np.random.default_rng(11).integers(1, 2**63, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
         for b in batches:
-            body, size, fp, bands = [], [], [], []
+            body, size, fp, bands, sketch = [], [], [], [], []
             for t in b.column(1).to_pylist():
                 h = shingle_hashes(t, WORDS)
                 body.append(xxhash.xxh3_128_hexdigest(b" ".join((t or b"").lower().split())))
                 fp.append(majority(h))
                 h = np.unique(h)
                 size.append(len(h))
+                bins, first = np.unique(h >> np.uint64(64 - 7), return_index=True)
+                cells = np.zeros(BINS, np.uint16)
+                cells[bins.astype(np.int64)] = (h[first] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
+                sketch.append(cells.tobytes())
                 least, picked = np.full(BANDS * ROWS, np.iinfo(np.uint64).max), np.zeros(BANDS * ROWS, np.uint64)
                 for at in range(0, len(h), 16384):
                     part = h[at : at + 16384]
@@ -240,11 +248,13 @@ def signatures(docs: DataFrame) -> DataFrame:
             flat = pa.array(signed(np.array(bands, np.uint64).reshape(-1)))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(body, pa.string()), pa.array(size, pa.int32()), pa.array(signed(np.array(fp, np.uint64))), lists], ["doc_id", "body", "size", "fp", "bands"]
+                [b.column(0), pa.array(body, pa.string()), pa.array(size, pa.int32()), pa.array(signed(np.array(fp, np.uint64))), lists, pa.array(sketch, pa.binary())],
+                ["doc_id", "body", "size", "fp", "bands", "sketch"],
             )
+        release()
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, body string, size int, fp long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, body string, size int, fp long, bands array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -260,57 +270,150 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Estimated similarity of a sketch to several."""
+    used = (one != 0) | (many != 0)
+    return ((one == many) & used).sum(axis=1) / np.maximum(used.sum(axis=1), 1)
+
+
+def group_candidates(rep: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Pairs of a group worth verifying, and its leaders (mutually unlike members, by position).
+
+    A member is a candidate with the TOP likest leaders so far, and with the likest member that follows each.
+    It follows the first where the estimate is clearly above SIMILARITY, and else becomes a leader itself; so
+    pairs grow with members, not with their square, however alike a group is.
+    """
+    order = np.lexsort((rep, -size))
+    leaders, followers, pairs = np.empty(0, np.int64), {}, []
+    for i in order.tolist():
+        if len(leaders):
+            e = estimates(sketch[i], sketch[leaders])
+            best = np.argsort(-e, kind="stable")[:TOP].tolist()
+            if e[best[0]] >= 1 - MARGIN / 2:
+                best = best[:1]
+            for k in best:
+                if e[k] >= SIMILARITY - MARGIN:
+                    pairs.append((leaders[k], i))
+                if SIMILARITY - 2 * MARGIN <= e[k] < SIMILARITY + MARGIN / 2 and (own := followers[int(leaders[k])]):
+                    f = estimates(sketch[i], sketch[own])
+                    if f.max() >= SIMILARITY - MARGIN:
+                        pairs.append((own[int(f.argmax())], i))
+            if e[best[0]] >= SIMILARITY + MARGIN / 2:
+                followers[int(leaders[best[0]])].append(i)
+                continue
+        leaders = np.append(leaders, i)
+        followers[i] = []
+    return [(int(rep[a]), int(rep[b])) for a, b in pairs], leaders
+
+
+def candidates_within(rows: DataFrame, last: bool) -> DataFrame:
+    """(band, fp, a, b) of rows (band, fp, chunk, rep, size, sketch): pairs to verify, and leaders, with b null.
+
+    Chunks are sorted side by side in partitions and streamed; a task holds one chunk at a time.
+    """
+
+    def run(batches):
+        def finish(held):
+            t = pa.Table.from_batches(held)
+            band, fp = t.column("band")[0].as_py(), t.column("fp")[0].as_py()
+            rep, size = (t.column(c).to_numpy() for c in ("rep", "size"))
+            rep, first = np.unique(rep, return_index=True)
+            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)[first]
+            pairs, leaders = group_candidates(rep, size[first], sketch)
+            a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+            if not last:
+                a, b = a + rep[leaders].tolist(), b + [None] * len(leaders)
+            return pa.RecordBatch.from_arrays([pa.array([band] * len(a), pa.int32()), pa.array([fp] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["band", "fp", "a", "b"])
+
+        held, now, out = [], None, []
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "fp", "chunk")], axis=1) if batch.num_rows else np.empty((0, 3))
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for x, y in zip(cuts, cuts[1:]):
+                if x == y:
+                    continue
+                key = tuple(keys[x].tolist())
+                if key != now and held:
+                    out.append(finish(held))
+                    held = []
+                    if len(out) == 256:
+                        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                        out = []
+                now = key
+                held.append(batch.slice(x, y - x))
+        if held:
+            out.append(finish(held))
+        if out:
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    dealt = rows.repartition("band", "fp", "chunk").sortWithinPartitions("band", "fp", "chunk")
+    return dealt.select("band", "fp", "chunk", "rep", "size", "sketch").mapInArrow(run, "band int, fp long, a long, b long")
+
+
+def band_candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) to verify among classes that share a band's fingerprint.
+
+    Groups beyond CHUNK go through in chunks, whose leaders form the group of the next level; where chunks
+    have few members that are alike, leaders meet in pairs of chunks instead, so that none is left out.
+    """
+    members = reps.select("rep", F.posexplode("bands").alias("band", "fp"))
+    counts = members.groupBy("band", "fp").agg(F.count("*").alias("n"))
+    counts = scratch.write(counts.where("n > 1"), "groups")
+    members = scratch.write(members.join(counts, ["band", "fp"]), "members")
+    found, before = None, None
+    while True:
+        total = members.count()
+        if not total:
+            break
+        chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        rows = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+        last = before is not None and total > 0.9 * before
+        if last:
+            other = F.sequence(F.lit(0), F.col("chunks") - 1)
+            pair = F.transform(other, lambda j: F.least("chunk", j) * 1_000_000 + F.greatest("chunk", j))
+            rows = rows.withColumn("chunk", F.explode(pair))
+        rows = rows.join(reps.select("rep", "size", "sketch"), "rep")
+        out = scratch.write(candidates_within(rows.select("band", "fp", "chunk", "rep", "size", "sketch"), last), "within")
+        pairs = out.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        found = pairs if found is None else found.unionByName(pairs)
+        if last:
+            break
+        before = total
+        left = out.where("b is null").join(counts.where(F.col("n") > CHUNK), ["band", "fp"]).select("band", "fp", F.col("a").alias("rep"))
+        counts = scratch.write(left.groupBy("band", "fp").agg(F.count("*").alias("n")), "groups")
+        members = scratch.write(left.join(counts, ["band", "fp"]), "members")
+    return found if found is not None else reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+
+
 def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(doc_id, component_id) of documents in classes of two or more, by verified links.
+    """(doc_id, component_id) of documents, by verified links of SIMILARITY or more.
 
     Exact copies form one class before any comparison.  Candidates are fingerprints of whole texts at 3 bits
-    or fewer, from the vantage-point trees, and equal fingerprints of a band; of these, pairs that share
-    SIMILARITY of their shingle sets are linked.  In a band's group all members are compared with the first;
-    those that are not like it are grouped again without it, until none is left.
+    or fewer, from the vantage-point trees, and classes that share a band's fingerprint; those whose sketches
+    may be SIMILARITY alike are verified on their shingle sets.
     """
     marks = scratch.write(signatures(docs), "signatures")
-    reps = marks.groupBy("body").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "fp", "bands")])
+    reps = marks.groupBy("body").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "fp", "bands", "sketch")])
     reps = scratch.write(reps, "reps")
-    #: Candidates of the trees: classes of equal or near fingerprints; the first text stands for its fingerprint.
+    names = scratch.write(marks.select("doc_id", "body"), "names")
+    scratch.drop(marks)
     points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "points")
     near = link_fingerprints(points, 3).select("a", "b")
     equal = reps.select("fp", F.col("rep").alias("b")).join(points.select("fp", F.col("rep").alias("a")), "fp").where("a <> b").select("a", "b")
-    sizes = reps.select("rep", "size")
-    pairs = scratch.write(near.unionByName(equal).distinct(), "near")
-    sides = [sizes.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
-    pairs = pairs.join(sides[0], "a").join(sides[1], "b").withColumn("groups", F.lit(None).cast("array<struct<band:int,fp:long>>"))
-    members = reps.select("rep", "size", F.posexplode("bands").alias("band", "fp"))
-    links, sets = None, None
-    while True:
-        leaders = members.groupBy("band", "fp").agg(F.min(F.struct("rep", "size")).alias("first"), F.count("*").alias("n"))
-        leaders = scratch.write(leaders.where("n > 1").select("band", "fp", "first"), "leaders")
-        found = members.join(leaders, ["band", "fp"]).where("rep <> first.rep")
-        found = found.groupBy(F.col("first.rep").alias("a"), F.col("rep").alias("b")).agg(
-            F.first("first.size").alias("na"), F.first("size").alias("nb"), F.collect_list(F.struct("band", "fp")).alias("groups")
-        )
-        pairs = scratch.write(pairs.unionByName(found) if links is None else found, "pairs")
-        if pairs.isEmpty():
-            break
-        enough = (F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0)
-        close = pairs.where(enough).select("a", "b").distinct()
-        if sets is None:
-            # Leaders of later rounds are members of this one's groups, so these texts are all that is needed.
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-            sets = scratch.write(shingle_sets(texts.join(scratch.write(ids, "ids"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-        one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-        like = scratch.write(like, "like")
-        links = like if links is None else links.unionByName(like)
-        rest = pairs.where("groups is not null").join(like, ["a", "b"], "left_anti")
-        members = rest.select(F.col("b").alias("rep"), F.col("nb").alias("size"), F.explode("groups").alias("g")).select("rep", "size", "g.band", "g.fp")
-        members = scratch.write(members, "members")
-    if links is None:
-        links = pairs.select("a", "b")
-    comps = scratch.write(connected_components(links, "a", "b"), "comps")
+    pairs = scratch.write(near.unionByName(equal).unionByName(band_candidates(reps, scratch)).distinct(), "pairs")
+    sizes = [reps.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
+    close = pairs.join(sizes[0], "a").join(sizes[1], "b").where((F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0))
+    close = scratch.write(close.select("a", "b"), "close")
+    ids = scratch.write(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    sets = scratch.write(shingle_sets(texts.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    comps = scratch.write(connected_components(scratch.write(like, "like"), "a", "b"), "comps")
+    scratch.drop(sets)
     named = reps.select("body", "rep").join(comps, reps["rep"] == comps["node"], "left").select("body", F.coalesce("component", "rep").alias("component_id"))
-    return marks.select("doc_id", "body").join(scratch.write(named, "named"), "body").select("doc_id", "component_id")
+    return names.join(scratch.write(named, "named"), "body").select("doc_id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
