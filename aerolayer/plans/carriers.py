@@ -19,7 +19,10 @@ def pick(index: Column, values: str | list[str]) -> Column:
 
 
 def obstacle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, line_number, line): an obstacle record for each order; some are malformed in known ways."""
+    """(file, line_number, line): an obstacle record for each order; some are malformed in known ways.
+
+    The explode keeps the text from being built anew for each field that is cut from it.
+    """
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
     k = F.col("k")
     seconds = lambda n: F.concat(number(F.floor(n / 100), 2), F.lit("."), number(n % 100, 2))
@@ -71,7 +74,7 @@ def obstacle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" "),
         F.when(k % 97 == 0, "20X6038").otherwise((k % 365 + 2013001).cast("string")),
     ]
-    return o.select(F.concat(F.lit("part-"), k % 5).alias("file"), k.alias("line_number"), F.concat(*fields).alias("line"))
+    return o.select(F.concat(F.lit("part-"), k % 5).alias("file"), k.alias("line_number"), F.explode(F.array(F.concat(*fields))).alias("line"))
 
 
 def navaid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +104,7 @@ def navaid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         "k",
         F.concat(F.lit('<faa:Member><aixm:RadioCommunicationChannel gml:id="RCC_'), r.cast("string"), F.lit('"><aixm:timeSlice><aixm:RadioCommunicationChannelTimeSlice>'), frequency, channel, F.lit("</aixm:RadioCommunicationChannelTimeSlice></aixm:timeSlice></aixm:RadioCommunicationChannel></faa:Member>")).alias("xml"),
     )
-    return navaids.unionByName(rcc)
+    return navaids.unionByName(rcc).select("k", F.explode(F.array("xml")).alias("xml"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
