@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -306,61 +307,124 @@ def group_candidates(rep: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> t
     return [(int(rep[a]), int(rep[b])) for a, b in pairs], leaders
 
 
+def by_group(batches, names: tuple[str, ...], finish):
+    """Batches of finish(rows of a group) for rows that are sorted by the columns ``names``; holds a group at a time."""
+    held, now, out = [], None, []
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in names], axis=1) if batch.num_rows else np.empty((0, len(names)))
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for x, y in zip(cuts, cuts[1:]):
+            if x == y:
+                continue
+            key = tuple(keys[x].tolist())
+            if key != now and held:
+                out.append(finish(pa.Table.from_batches(held)))
+                held = []
+                if len(out) == 256:
+                    yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                    out = []
+            now = key
+            held.append(batch.slice(x, y - x))
+    if held:
+        out.append(finish(pa.Table.from_batches(held)))
+    if out:
+        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+
+def sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)
+
+
+def found_pairs(t: pa.Table, a: list, b: list) -> pa.RecordBatch:
+    band, fp = t.column("band")[0].as_py(), t.column("fp")[0].as_py()
+    return pa.RecordBatch.from_arrays([pa.array([band] * len(a), pa.int32()), pa.array([fp] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["band", "fp", "a", "b"])
+
+
 def candidates_within(rows: DataFrame, last: bool) -> DataFrame:
     """(band, fp, a, b) of rows (band, fp, chunk, rep, size, sketch): pairs to verify, and leaders, with b null.
 
     Chunks are sorted side by side in partitions and streamed; a task holds one chunk at a time.
     """
 
-    def run(batches):
-        def finish(held):
-            t = pa.Table.from_batches(held)
-            band, fp = t.column("band")[0].as_py(), t.column("fp")[0].as_py()
-            rep, size = (t.column(c).to_numpy() for c in ("rep", "size"))
-            rep, first = np.unique(rep, return_index=True)
-            sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, BINS)[first]
-            pairs, leaders = group_candidates(rep, size[first], sketch)
-            a, b = [p[0] for p in pairs], [p[1] for p in pairs]
-            if not last:
-                a, b = a + rep[leaders].tolist(), b + [None] * len(leaders)
-            return pa.RecordBatch.from_arrays([pa.array([band] * len(a), pa.int32()), pa.array([fp] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["band", "fp", "a", "b"])
-
-        held, now, out = [], None, []
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "fp", "chunk")], axis=1) if batch.num_rows else np.empty((0, 3))
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-            for x, y in zip(cuts, cuts[1:]):
-                if x == y:
-                    continue
-                key = tuple(keys[x].tolist())
-                if key != now and held:
-                    out.append(finish(held))
-                    held = []
-                    if len(out) == 256:
-                        yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                        out = []
-                now = key
-                held.append(batch.slice(x, y - x))
-        if held:
-            out.append(finish(held))
-        if out:
-            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-
-    dealt = rows.repartition("band", "fp", "chunk").sortWithinPartitions("band", "fp", "chunk")
-    return dealt.select("band", "fp", "chunk", "rep", "size", "sketch").mapInArrow(run, "band int, fp long, a long, b long")
-
-
-def band_candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) to verify among classes that share a band's fingerprint.
+    def finish(t):
+        rep, size = (t.column(c).to_numpy() for c in ("rep", "size"))
+        rep, first = np.unique(rep, return_index=True)
+        pairs, leaders = group_candidates(rep, size[first], sketches(t)[first])
+        a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+        if not last:
+            a, b = a + rep[leaders].tolist(), b + [None] * len(leaders)
+        return found_pairs(t, a, b)
+
+    keys = ("band", "fp", "chunk")
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "rep", "size", "sketch")
+    return dealt.mapInArrow(lambda batches: by_group(batches, keys, finish), "band int, fp long, a long, b long")
+
+
+def unlinked_pairs(one: pa.Table, two: pa.Table, most: int) -> tuple[list[int], list[int], bool]:
+    """Pairs of members in different components that size and sketch do not rule out, and whether there are more.
+
+    ``two`` has members outside the group's main component, ``one`` has any (columns rep, size, component, main,
+    sketch).  Of two components the ``most`` likest pairs are given.  Pairs outside the main component come once,
+    with the smaller rep from ``one``.
+    """
+    (ra, na, ca, ma), (rb, nb, cb, _) = ([t.column(c).to_numpy() for c in ("rep", "size", "component", "main")] for t in (one, two))
+    sa, sb = sketches(one), sketches(two)
+    at, to, like = [], [], []
+    for i in range(len(rb)):
+        may = (ca != cb[i]) & ((ca == ma) | (ra < rb[i])) & (np.minimum(na, nb[i]) >= SIMILARITY * np.maximum(na, nb[i]))
+        k = np.flatnonzero(may)
+        e = estimates(sb[i], sa[k])
+        near = e >= SIMILARITY - MARGIN
+        at.append(k[near])
+        to.append(np.full(len(at[-1]), i))
+        like.append(e[near])
+    at, to, like = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, to, like))
+    x, y = np.minimum(ca[at], cb[to]), np.maximum(ca[at], cb[to])
+    order = np.lexsort((-like, y, x))
+    x, y = x[order], y[order]
+    starts = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))[: len(x)]
+    place = np.arange(len(x)) - np.maximum.accumulate(np.where(starts, np.arange(len(x)), 0))
+    kept = order[place < most]
+    return ra[at[kept]].tolist(), rb[to[kept]].tolist(), len(kept) < len(order)
+
+
+def candidates_left(reps: DataFrame, members: DataFrame, comps: DataFrame, most: int) -> DataFrame:
+    """(band, fp, a, b) of members (band, fp, rep): pairs of a group that verified links have not joined yet.
+
+    A row with null a and b marks a group that has more pairs of two components than ``most``.  All members of a
+    group meet those outside its main component, in cells of CHUNK by CHUNK.
+    """
+    named = members.join(comps, members["rep"] == comps["node"], "left").select("band", "fp", "rep", F.coalesce("component", "rep").alias("component"))
+    parts = named.groupBy("band", "fp", "component").agg(F.count("*").alias("n"))
+    groups = parts.groupBy("band", "fp").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+    groups = groups.where(f"n > top.n and n <= {CHUNK}").select("band", "fp", F.col("top.component").alias("main"), *[F.ceil(c / CHUNK).cast("int").alias(x) for x, c in (("ones", F.col("n")), ("twos", F.col("n") - F.col("top.n")))])
+    rows = named.join(groups, ["band", "fp"]).join(reps.select("rep", "size", "sketch"), "rep")
+    own, every = (lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+    keys, held = ("band", "fp", "i", "j"), ("rep", "size", "component", "main", "sketch")
+    one = rows.select("band", "fp", own("ones").alias("i"), every("twos").alias("j"), F.lit(False).alias("second"), *held)
+    two = rows.where("component <> main").select("band", "fp", every("ones").alias("i"), own("twos").alias("j"), F.lit(True).alias("second"), *held)
+
+    def finish(t):
+        second = t.column("second")
+        a, b, more = unlinked_pairs(t.filter(pc.invert(second)), t.filter(second), most)
+        return found_pairs(t, a + [None] * more, b + [None] * more)
+
+    dealt = one.unionByName(two).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(lambda batches: by_group(batches, keys, finish), "band int, fp long, a long, b long")
+
+
+def band_candidates(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b) to verify first among classes that share a band's fingerprint, and all members (band, fp, rep).
 
     Groups beyond CHUNK go through in chunks, whose leaders form the group of the next level; where chunks
-    have few members that are alike, leaders meet in pairs of chunks instead, so that none is left out.
+    have few members that are alike, leaders meet in pairs of chunks instead.  These pairs join most of a
+    group with few links; ``candidates_left`` finds what they leave out.
     """
     members = reps.select("rep", F.posexplode("bands").alias("band", "fp"))
     counts = members.groupBy("band", "fp").agg(F.count("*").alias("n"))
     counts = scratch.write(counts.where("n > 1"), "groups")
     members = scratch.write(members.join(counts, ["band", "fp"]), "members")
-    found, before = None, None
+    found, before, every = None, None, members.select("band", "fp", "rep")
     while True:
         total = members.count()
         if not total:
@@ -382,7 +446,23 @@ def band_candidates(reps: DataFrame, scratch: Scratch) -> DataFrame:
         left = out.where("b is null").join(counts.where(F.col("n") > CHUNK), ["band", "fp"]).select("band", "fp", F.col("a").alias("rep"))
         counts = scratch.write(left.groupBy("band", "fp").agg(F.count("*").alias("n")), "groups")
         members = scratch.write(left.join(counts, ["band", "fp"]), "members")
-    return found if found is not None else reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    return found if found is not None else reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0), every
+
+
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of texts that share SIMILARITY of their shingles."""
+    sizes = [reps.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
+    close = pairs.join(sizes[0], "a").join(sizes[1], "b").where((F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0))
+    close = scratch.write(close.select("a", "b"), "close")
+    ids = scratch.write(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    sets = scratch.write(shingle_sets(texts.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    like = scratch.write(like, "like")
+    scratch.drop(close, ids, sets)
+    return like
 
 
 def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -390,7 +470,7 @@ def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     Exact copies form one class before any comparison.  Candidates are fingerprints of whole texts at 3 bits
     or fewer, from the vantage-point trees, and classes that share a band's fingerprint; those whose sketches
-    may be SIMILARITY alike are verified on their shingle sets.
+    may be SIMILARITY alike are verified on their shingle sets, unless verified links have joined them already.
     """
     marks = scratch.write(signatures(docs), "signatures")
     reps = marks.groupBy("body").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "fp", "bands", "sketch")])
@@ -400,18 +480,26 @@ def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "points")
     near = link_fingerprints(points, 3).select("a", "b")
     equal = reps.select("fp", F.col("rep").alias("b")).join(points.select("fp", F.col("rep").alias("a")), "fp").where("a <> b").select("a", "b")
-    pairs = scratch.write(near.unionByName(equal).unionByName(band_candidates(reps, scratch)).distinct(), "pairs")
-    sizes = [reps.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
-    close = pairs.join(sizes[0], "a").join(sizes[1], "b").where((F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0))
-    close = scratch.write(close.select("a", "b"), "close")
-    ids = scratch.write(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sets = scratch.write(shingle_sets(texts.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-    one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    comps = scratch.write(connected_components(scratch.write(like, "like"), "a", "b"), "comps")
-    scratch.drop(sets)
+    banded, members = band_candidates(reps, scratch)
+    tested = scratch.write(near.unionByName(equal).unionByName(banded).distinct(), "pairs")
+    like = verified(tested, reps, docs, scratch)
+    comps = scratch.write(connected_components(like, "a", "b"), "comps")
+    most = 4
+    while True:
+        out = scratch.write(candidates_left(reps, members, comps, most), "left")
+        pairs = out.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = scratch.write(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if pairs.limit(1).count():
+            tested = tested.unionByName(pairs)
+            more = verified(pairs, reps, docs, scratch)
+            if more.limit(1).count():
+                like = like.unionByName(more)
+                comps = scratch.write(connected_components(like, "a", "b"), "comps")
+        going = out.where("b is null").select("band", "fp").distinct()
+        if not going.limit(1).count():
+            break
+        members = scratch.write(members.join(going, ["band", "fp"], "left_semi"), "members")
+        most *= 16
     named = reps.select("body", "rep").join(comps, reps["rep"] == comps["node"], "left").select("body", F.coalesce("component", "rep").alias("component_id"))
     return names.join(scratch.write(named, "named"), "body").select("doc_id", "component_id")
 

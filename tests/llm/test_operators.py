@@ -294,6 +294,27 @@ def test_near_duplicates_keep_one(spark, odd, empty, monkeypatch):
     assert kept.columns == odd.columns and simhash.drop_near_duplicates(empty).count() == 0
 
 
+def bridged_copies():
+    """A text, copies with one edit, and copies of those with two more, which hold to one copy each and not to the text."""
+    rng = random.Random(12)
+    base = words(rng, 120, 10**6)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 161):
+        w, at = list(base), 10 + rng.randrange(95)
+        w[at] = f"x{i}"
+        rows.append((i, " ".join(w)))
+        for p in rng.sample([p for p in range(5, 115, 6) if abs(p - at) > 5], 2):
+            w[p] = f"y{i}p{p}"
+        rows.append((1000 + i, " ".join(w)))
+    return rows
+
+
+def test_near_duplicates_in_a_hot_group_around_the_limit(spark):
+    rows = bridged_copies()
+    df = spark.createDataFrame([(*r, "a", 0) for r in rows], SCHEMA)
+    assert {r.doc_id for r in simhash.drop_near_duplicates(df).collect()} == set(plain_near_groups(rows).values())
+
+
 # 6
 
 
