@@ -397,7 +397,7 @@ def candidates_left(reps: DataFrame, members: DataFrame, comps: DataFrame, most:
     named = members.join(comps, members["rep"] == comps["node"], "left").select("band", "fp", "rep", F.coalesce("component", "rep").alias("component"))
     parts = named.groupBy("band", "fp", "component").agg(F.count("*").alias("n"))
     groups = parts.groupBy("band", "fp").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-    groups = groups.where(f"n > top.n and n <= {CHUNK}").select("band", "fp", F.col("top.component").alias("main"), *[F.ceil(c / CHUNK).cast("int").alias(x) for x, c in (("ones", F.col("n")), ("twos", F.col("n") - F.col("top.n")))])
+    groups = groups.where("n > top.n").select("band", "fp", F.col("top.component").alias("main"), *[F.ceil(c / CHUNK).cast("int").alias(x) for x, c in (("ones", F.col("n")), ("twos", F.col("n") - F.col("top.n")))])
     rows = named.join(groups, ["band", "fp"]).join(reps.select("rep", "size", "sketch"), "rep")
     own, every = (lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     keys, held = ("band", "fp", "i", "j"), ("rep", "size", "component", "main", "sketch")

@@ -315,6 +315,13 @@ def test_near_duplicates_in_a_hot_group_around_the_limit(spark):
     assert {r.doc_id for r in simhash.drop_near_duplicates(df).collect()} == set(plain_near_groups(rows).values())
 
 
+def test_near_duplicates_between_followers_of_chunks(spark, monkeypatch):
+    rows = bridged_copies()
+    df = spark.createDataFrame([(*r, "a", 0) for r in rows], SCHEMA)
+    monkeypatch.setattr(simhash, "CHUNK", 16)
+    assert {r.doc_id for r in simhash.drop_near_duplicates(df).collect()} == set(plain_near_groups(rows).values())
+
+
 # 6
 
 
