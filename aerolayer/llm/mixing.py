@@ -86,6 +86,12 @@ def partial_pass(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.nda
             take[i] += k
             left -= k * int(lengths[i])
     open_ = (counts > take) & (lengths > 0) & (lengths <= left)
+    if left > EXACT and open_.any():
+        # What is still open has over left - EXACT // 2 words, more than half of left: one fits, and the longest is best.
+        i = np.flatnonzero(open_)[np.argmax(lengths[open_])]
+        take[i] += 1
+        left -= int(lengths[i])
+        open_ = (counts > take) & (lengths > 0) & (lengths <= left)
     if 0 < left <= EXACT and open_.any():
         take[open_] += subset_sum(lengths[open_], (counts - take)[open_], left)
     return take

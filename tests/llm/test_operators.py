@@ -163,6 +163,12 @@ def test_subset_sum_is_optimal():
         assert (take <= counts).all() and (take * lengths).sum() == best
 
 
+def test_rests_beyond_the_exact_range_take_what_fits():
+    for lengths, budget, most in (([70_000, 90_000], 96_000, 90_000), ([70_000, 90_000, 400_000], 99_000, 90_000), ([97_000, 120_000], 96_000, 0)):
+        take = mixing.partial_pass(np.array(lengths), np.ones(len(lengths), np.int64), budget)
+        assert (take <= 1).all() and int((take * lengths).sum()) == most
+
+
 def test_mix(spark, odd, empty):
     rng = random.Random(4)
     rows = [(i, " ".join(words(rng, rng.randint(0, 80))), ["b", "a", None, "tiny"][i % 4 if i < 400 else 0], 0) for i in range(1500)]
