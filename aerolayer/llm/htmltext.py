@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -161,6 +162,7 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray]:
             v[p] += v[i]
     total = max(1, size[0])
     x = np.zeros((count, 24 + len(TAGS)))
+    tags: dict[int, Counter] = {}  # how many children of a parent have each tag
     above_good, above_bad, above_plain, above_article = [0] * count, [0] * count, [0] * count, [0] * count
     for i, n in enumerate(nodes):
         p = parent[i]
@@ -169,10 +171,12 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray]:
             above_article[i] = above_article[p] + (nodes[p].tag in ("article", "main"))
         same = n.parent.children if n.parent else [n]
         k = len(same)
+        if p not in tags:
+            tags[p] = Counter(c.tag for c in same)
         up = size[p] if p >= 0 else size[0]
         x[i, :24] = (
             n.depth, size[i], size[i] / total, links[i] / max(1, size[i]), marks[i], 100 * marks[i] / max(1, size[i]), inner[i], size[i] / inner[i], leaves[i], size[i] / max(1, leaves[i]),
-            k, sum(c.tag == n.tag for c in same[:50]) / min(k, 50), size[i] / max(1, up), good[i], bad[i], above_good[i], above_bad[i], above_plain[i], above_article[i],
+            k, tags[p][n.tag] / k, size[i] / max(1, up), good[i], bad[i], above_good[i], above_bad[i], above_plain[i], above_article[i],
             links[p] / max(1, size[p]) if p >= 0 else 0, leaves[i] / max(1, leaves[0]), good[p] if p >= 0 else 0, bad[p] if p >= 0 else 0, size[p] / total if p >= 0 else 1,
         )
         x[i, 24 + TAG_OF.get(n.tag, 1)] = 1

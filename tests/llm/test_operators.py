@@ -435,6 +435,12 @@ def test_html_parsing(spark, empty):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_sibling_shares_count_all_siblings():
+    nodes, x = htmltext.describe(htmltext.parse("<div>" + "<p>a b</p>" * 60 + "<ul>c</ul>" * 40 + "</div>"))
+    share = {n.tag: x[i, 11] for i, n in enumerate(nodes)}
+    assert share["p"] == pytest.approx(0.6) and share["ul"] == pytest.approx(0.4)
+
+
 def test_decoding_is_consistent_and_best():
     rng = np.random.default_rng(1)
     for _ in range(40):
