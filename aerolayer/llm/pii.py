@@ -32,7 +32,7 @@ PROPOSED = {
     "phone_local": r"(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}",
     "ssn": r"[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "secret": r"(?i)(?:password|passwd|passphrase|secret|token|api[_-]?key)\x20?[=:]\x20?[^\x20\x09-\x0D]{4,200}",
+    "secret": r"(?i)(?:password|passwd|passphrase|secret|token|api[_-]?key)\x20?[=:]\x20?[^\x20\x09-\x0D]{4,}+",
 }
 KINDS = [*BASE, *PROPOSED]
 #: Words before a span that speak for a kind, or against all.

@@ -543,6 +543,10 @@ def test_trees_as_sql_and_added_spans(spark):
     assert [bool(r.spans) for r in out] == [True, False, True, True, False]
     assert "<secret>" in out[2].text and "abc123" not in out[2].text and out[4].text == texts[4]
     made = pii.generated(np.random.default_rng(77), 400)
+    made += [("token=" + "a1B2c3D4" * 60 + " end", "long")]
+    whole = pii.with_spans(spark.createDataFrame([(0, made[-1][0])], "doc_id long, text string"), "text").first()
+    assert [(s.start, s.end) for s in whole["__proposed"] if s.kind == "secret"] == [(0, 486)]
+    made.pop()
     rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string")
     hit = {r.doc_id: bool(r.spans) for r in pii.personal_data(rows).collect()}
     assert np.mean([hit[i] == bool(d) for i, (_, d) in enumerate(made)]) > 0.9
