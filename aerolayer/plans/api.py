@@ -34,7 +34,7 @@ def parse_obstacles(spark: SparkSession, out: str, input: str | None = None, inp
         geojson.write_features(to_features(kept, system, amsl_z), out, crs_name(system))
         counts = obstacles.summary(parsed, states).first().asDict()
         files = 1 if input else lines.select("file").distinct().count()
-        return counts | {"file_count": files, "errors": obstacles.errors(obstacles.parse(lines))}
+        return counts | {"file_count": files, "errors": obstacles.errors(parsed)}
     finally:
         parsed.unpersist()
 

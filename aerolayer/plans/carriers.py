@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows over all cores where a table of one small file would keep a single one busy."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def number(c: Column, width: int) -> Column:
     return F.lpad(c.cast("string"), width, "0")
 
@@ -23,58 +29,37 @@ def obstacle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The explode keeps the text from being built anew for each field that is cut from it.
     """
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
-    k = F.col("k")
-    seconds = lambda n: F.concat(number(F.floor(n / 100), 2), F.lit("."), number(n % 100, 2))
-    text = lambda c, n: F.rpad(c, n, " ")
+    o = spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")), "k")
+    digits = lambda x, n: f"lpad(CAST({x} AS STRING), {n}, '0')"
+    seconds = lambda x: f"{digits(f'({x}) DIV 100', 2)} || '.' || {digits(f'({x}) % 100', 2)}"
+    one = lambda index, values: f"substring('{values}', CAST({index} AS INT) + 1, 1)"
+    any_of = lambda index, values: f"element_at(array({', '.join(map(repr, values))}), CAST({index} AS INT) + 1)"
     fields = [
-        number(k % 56 + 1, 2),
-        F.lit("-"),
-        number(k % 1000000, 6),
-        F.lit(" "),
-        F.when(k % 2 == 0, "O").otherwise("U"),
-        F.lit(" "),
-        F.when(k % 11 == 0, "MX").otherwise("US"),
-        F.lit(" "),
-        F.when(k % 11 == 0, "  ").otherwise(pick(k % 4, ["UT", "CO", "NV", "ID"])),
-        F.lit(" "),
-        text(F.concat(F.lit("CITY "), k % 50), 16),
-        F.lit(" "),
-        number(k % 24 + 25, 2),
-        F.lit(" "),
-        F.when(k % 101 == 0, "75").otherwise(number(k % 60, 2)),
-        F.lit(" "),
-        seconds(k % 6000),
-        F.lit("N "),
-        number(k % 58 + 66, 3),
-        F.lit(" "),
-        number(k * 7 % 60, 2),
-        F.lit(" "),
-        seconds(k * 13 % 6000),
-        F.lit("W "),
-        text(pick(k % 4, ["TOWER", "BLDG", "POLE", "WINDMILL"]), 18),
-        F.lit(" "),
-        F.when(k % 5 == 0, " ").otherwise((k % 9 + 1).cast("string")),
-        F.lit(" "),
-        F.when(k % 103 == 0, "ABCDE").otherwise(number(k % 2000 + 20, 5)),
-        F.lit(" "),
-        number(k % 9000 + 100, 5),
-        F.lit(" "),
-        F.when(k % 7 == 0, " ").otherwise(pick(k % 10, "RDHMSFCWLN")),
-        F.lit(" "),
-        (k % 9 + 1).cast("string"),
-        F.lit(" "),
-        pick(k % 9, "ABCDEFGHI"),
-        F.lit(" "),
-        pick(k % 7, "MPFLRWK"),
-        F.lit(" "),
-        text(F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("2020ST"), number(k % 100000, 5), F.lit("OE"))), 14),
-        F.lit(" "),
-        F.when(k % 2 == 0, "A").otherwise("C"),
-        F.lit(" "),
-        F.when(k % 97 == 0, "20X6038").otherwise((k % 365 + 2013001).cast("string")),
+        f"{digits('k % 56 + 1', 2)} || '-' || {digits('k % 1000000', 6)}",
+        "if(k % 2 = 0, 'O', 'U')",
+        "if(k % 11 = 0, 'MX', 'US')",
+        f"if(k % 11 = 0, '  ', {any_of('k % 4', ['UT', 'CO', 'NV', 'ID'])})",
+        "rpad('CITY ' || (k % 50), 16, ' ')",
+        digits("k % 24 + 25", 2),
+        f"if(k % 101 = 0, '75', {digits('k % 60', 2)})",
+        f"{seconds('k % 6000')} || 'N'",
+        digits("k % 58 + 66", 3),
+        digits("k * 7 % 60", 2),
+        f"{seconds('k * 13 % 6000')} || 'W'",
+        f"rpad({any_of('k % 4', ['TOWER', 'BLDG', 'POLE', 'WINDMILL'])}, 18, ' ')",
+        "if(k % 5 = 0, ' ', CAST(k % 9 + 1 AS STRING))",
+        f"if(k % 103 = 0, 'ABCDE', {digits('k % 2000 + 20', 5)})",
+        digits("k % 9000 + 100", 5),
+        f"if(k % 7 = 0, ' ', {one('k % 10', 'RDHMSFCWLN')})",
+        "CAST(k % 9 + 1 AS STRING)",
+        one("k % 9", "ABCDEFGHI"),
+        one("k % 7", "MPFLRWK"),
+        f"rpad(if(k % 3 = 0, '', '2020ST' || {digits('k % 100000', 5)} || 'OE'), 14, ' ')",
+        "if(k % 2 = 0, 'A', 'C')",
+        "if(k % 97 = 0, '20X6038', CAST(k % 365 + 2013001 AS STRING))",
     ]
-    return o.select(F.concat(F.lit("part-"), k % 5).alias("file"), k.alias("line_number"), F.explode(F.array(F.concat(*fields))).alias("line"))
+    line = F.expr(f"array(concat_ws(' ', {', '.join(fields)}))")
+    return o.select(F.expr("'part-' || (k % 5)").alias("file"), F.col("k").alias("line_number"), F.explode(line).alias("line"))
 
 
 def navaid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +68,7 @@ def navaid_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every eleventh part has a type that does not count; references are three channel ids, some of nothing.
     """
     types = ["VOR", "VOR_DME", "VORTAC", "NDB", "NDB_DME", "TACAN", "DME", "OTHER:VOT", "OTHER:FAN_MARKER", "OTHER:MARINE_NDB", "ILS"]
-    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))
+    p = spread(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")), "k")
     k = F.col("k")
     ref = lambda n: F.concat(F.lit("<aixm:navaidEquipment><aixm:NavaidComponent><aixm:theNavaidEquipment xlink:href=\"#/faa:SubscriberFile/faa:Member/aixm:RadioCommunicationChannel[@gml:id='RCC_"), n.cast("string"), F.lit("']\"/></aixm:NavaidComponent></aixm:navaidEquipment>"))
     tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
@@ -148,7 +133,7 @@ def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chart_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dir, file) of raw charts for parts: sectional folders, terminal folders of two files, and distractors."""
     k, n = F.col("p_partkey"), F.initcap("p_name")
-    p = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(k.alias("k"), F.concat(n, F.lit(" "), k.cast("string")).alias("n"))
+    p = table(spark, sf_dir, "part").select(k.alias("k"), F.concat(n, F.lit(" "), k.cast("string")).alias("n"))
     terminal = F.col("k") % 2 == 0
     folder = F.when(terminal, F.concat("n", F.lit("_TAC"))).otherwise(F.col("n"))
     files = F.when(terminal, F.array(F.concat("n", F.lit(" TAC.tif")), F.concat("n", F.lit(" FLY.tif")), F.lit("Anchorage Graphic.tif"))).otherwise(F.array(F.concat("n", F.lit(" SEC.tif")), F.concat("n", F.lit(" SEC.htm")), F.lit("Honolulu Inset SEC.tif")))

@@ -207,7 +207,7 @@ def chart_normalize(spark, d):
     return p.select(col("p_partkey").alias("k"), text.key_strict(col("p_name")).alias("strict_key"), text.key_lenient(shown).alias("lenient_key"), text.chart_filename(col("p_name")).alias("file"))
 
 
-CHARTS = """WITH base AS (SELECT p_partkey AS k, p_name, list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') || ' ' || p_partkey AS n FROM part WHERE p_partkey % 3 = 0),
+CHARTS = """WITH base AS (SELECT p_partkey AS k, p_name, list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') || ' ' || p_partkey AS n FROM part),
 found AS (SELECT k, CASE WHEN k % 2 = 0 THEN n || '_TAC' ELSE n END AS chart_name, unnest(CASE WHEN k % 2 = 0 THEN ['tac', 'fly'] ELSE ['sectional'] END) AS chart_type, n,
   unnest(CASE WHEN k % 2 = 0 THEN [n || ' TAC.tif', n || ' FLY.tif'] ELSE [n || ' SEC.tif'] END) AS file FROM base),
 keyed AS (SELECT *, regexp_replace(lower(chart_name), '[^a-z0-9]+', '', 'g') AS chart_key, CASE WHEN chart_type = 'sectional' THEN 'sectional' ELSE 'tac' END AS family,
@@ -255,7 +255,7 @@ def dup_keys(spark, d):
 
 REGIONS = """WITH regs AS (SELECT r_name AS region, n_name AS chart, row_number() OVER (PARTITION BY r_name ORDER BY n_name) - 1 AS ordinal FROM region JOIN nation ON r_regionkey = n_regionkey),
 alias AS (SELECT * FROM (VALUES ('unitedstates', 'usa'), ('unitedkingdom', 'uk'), ('uk', 'unitedkingdom')) v(key, variant)),
-files AS (SELECT s_suppkey AS s, CASE WHEN n_name = 'UNITED STATES' THEN 'usa' ELSE lower(replace(n_name, ' ', '-')) END AS stem, '/p/' || s_suppkey || '/' FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 5 <> 0 AND s_nationkey % 7 <> 3),
+files AS (SELECT s_suppkey AS s, CASE WHEN s_nationkey % 7 = 3 THEN 'lost-' || s_suppkey WHEN n_name = 'UNITED STATES' THEN 'usa' ELSE lower(replace(n_name, ' ', '-')) END AS stem, '/p/' || s_suppkey || '/' FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 paths AS (SELECT '/p/' || s || '/' || stem || '--' || stem || '-tac.tac.clip.tif' AS path, regexp_replace(stem, '[^a-z0-9]+', '', 'g') AS fk FROM files),
 fkeys AS (SELECT path, fk || 'tac' AS key FROM paths UNION SELECT path, fk FROM paths), fvars AS (SELECT path, key AS variant FROM fkeys UNION SELECT path, variant FROM fkeys JOIN alias USING (key)),
 ckeys AS (SELECT *, regexp_replace(lower(chart), '[^a-z0-9]+', '', 'g') AS key FROM regs), cvars AS (SELECT *, key AS variant FROM ckeys UNION ALL SELECT ckeys.*, alias.variant FROM ckeys JOIN alias USING (key)),
@@ -272,8 +272,8 @@ def regions(spark, d):
 
 def region_inputs(spark, d):
     s = carriers.table(spark, d, "supplier").join(carriers.table(spark, d, "nation"), col("s_nationkey") == col("n_nationkey"))
-    s = s.where("s_suppkey % 5 <> 0 and s_nationkey % 7 <> 3")
-    stem = F.when(col("n_name") == "UNITED STATES", "usa").otherwise(F.lower(F.replace("n_name", F.lit(" "), F.lit("-"))))
+    # Files of some nations have names that no chart answers to.
+    stem = F.when(col("s_nationkey") % 7 == 3, F.concat(F.lit("lost-"), "s_suppkey")).when(col("n_name") == "UNITED STATES", "usa").otherwise(F.lower(F.replace("n_name", F.lit(" "), F.lit("-"))))
     name = F.concat(stem, F.lit("--"), stem, F.lit("-tac.tac.clip.tif"))
     files = s.select(F.concat(F.lit("/p/"), "s_suppkey", F.lit("/"), name).alias("path"), name.alias("file"))
     aliases = charts.alias_table(spark, {"unitedstates": ("usa",), "unitedkingdom": ("uk",), "uk": ("unitedkingdom",)})

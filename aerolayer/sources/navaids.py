@@ -30,8 +30,9 @@ def read_members(spark: SparkSession, path: str) -> DataFrame:
 
 
 def members_of(texts: DataFrame, column: str) -> DataFrame:
-    """texts with ``member`` parsed from a column of member XML."""
-    return texts.withColumn("member", F.from_xml(F.col(column), MEMBER, {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}))
+    """texts with ``member`` parsed from a column of member XML, once: the explode keeps it from being merged into its uses."""
+    parsed = F.from_xml(F.col(column), MEMBER, {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"})
+    return texts.select(*[c for c in texts.columns if c != "member"], F.explode(F.array(parsed)).alias("member"))
 
 
 def effective_date(spark: SparkSession, path: str) -> str | None:

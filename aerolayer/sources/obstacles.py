@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import measures as m
-from ..functions.text import blank_to_null, state_filter
+from ..functions.text import state_filter
 
 #: What record lines and state files look like.
 RECORD_LINE = "^[A-Z0-9]{2}-[A-Z0-9]{6}"
@@ -16,11 +16,6 @@ RECORD_LENGTH = 127
 STATE_FILE = "(?i)^[0-9]{2}-[A-Z]{2}[.]DAT$"
 
 
-def field(line: Column, start: int, end: int) -> Column:
-    """Trimmed text of columns start to end (from 1, inclusive); blank is null."""
-    return blank_to_null(F.substring(line, start, end - start + 1))
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_number, line) of text files; lines are numbered from 1, invalid bytes replaced."""
     whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("value"))
@@ -51,59 +46,79 @@ def is_record(line: Column) -> Column:
     return (F.length(line) >= RECORD_LENGTH) & line.rlike(RECORD_LINE)
 
 
+#: Columns of a record line, from 1, inclusive.
+FIELDS = {
+    "oas": (1, 2), "number": (4, 9), "verification": (11, 11), "country": (13, 14), "state": (16, 17), "city": (19, 34),
+    "lat_degrees": (36, 37), "lat_minutes": (39, 40), "lat_seconds": (42, 46), "lat_hemisphere": (47, 47),
+    "lon_degrees": (49, 51), "lon_minutes": (53, 54), "lon_seconds": (56, 60), "lon_hemisphere": (61, 61),
+    "kind": (63, 80), "quantity": (82, 82), "agl": (84, 88), "amsl": (90, 94), "lighting": (96, 96), "horizontal": (98, 98),
+    "vertical": (100, 100), "mark": (102, 102), "study": (104, 117), "action": (119, 119), "julian": (121, 127),
+}
+
+
+#: What is wrong with a place, in column order: condition on the parts d, m, s, h of an axis, and message.
+PLACE_RULES = [
+    ("{d} = ''", "missing {axis} degrees"),
+    ("{m} = ''", "missing {axis} minutes"),
+    ("{s} = ''", "missing {axis} seconds"),
+    ("{h} = ''", "missing {axis} hemisphere"),
+    ("{d}_n IS NULL OR {m}_n IS NULL OR {s}_n IS NULL OR isnan({s}_n)", "invalid {short} coordinate numeric component"),
+    ("{m}_n < 0 OR {m}_n >= 60", "{short} minutes must be in [0, 59]"),
+    ("{s}_n < 0 OR {s}_n >= 60", "{short} seconds must be in [0, 60)"),
+    ("{d}_n < 0 OR {d}_n > {most}", "{short} degrees must be in [0, {most}]"),
+    ("upper({h}) NOT IN ('{plus}', '{minus}')", "{short} hemisphere must be {plus} or {minus}"),
+]
+AXES = [
+    {"short": "lat", "axis": "latitude", "most": 90, "plus": "N", "minus": "S"},
+    {"short": "lon", "axis": "longitude", "most": 180, "plus": "E", "minus": "W"},
+]
+for _a in AXES:
+    _a |= {p[0]: f"__{_a['short']}_{p}" for p in ("degrees", "minutes", "seconds", "hemisphere")}
+#: What is wrong with a record, in column order.
+RULES = [
+    ("__oas = ''", "missing OAS code"),
+    ("__number = ''", "missing obstacle number"),
+    ("__verification = ''", "missing verification status"),
+    ("__country = ''", "missing country identifier"),
+    ("upper(__country) = 'US' AND __state = ''", "missing state identifier for US record"),
+    *[(rule.format(**a), message.format(**a)) for a in AXES for rule, message in PLACE_RULES],
+    ("__kind = ''", "missing obstacle type"),
+    ("__quantity <> '' AND __quantity_n IS NULL", "quantity must be an integer when present"),
+    ("__agl = ''", "missing AGL height"),
+    ("__agl_n IS NULL", "AGL height must be an integer"),
+    ("__amsl = ''", "missing AMSL height"),
+    ("__amsl_n IS NULL", "AMSL height must be an integer"),
+    ("__action = ''", "missing action"),
+    ("__julian = ''", "missing julian date"),
+    ("NOT (__julian RLIKE '^[0-9]+$')", "julian date must be a 7-digit numeric value"),
+]
+NUMBERS = {"lat_degrees": "int", "lat_minutes": "int", "lat_seconds": "double", "lon_degrees": "int", "lon_minutes": "int", "lon_seconds": "double", "quantity": "int", "agl": "int", "amsl": "int"}
+
+
 def parse(lines: DataFrame) -> DataFrame:
     """Record lines of ``lines`` (line, and any other columns) with their fields and parse_error.
 
-    parse_error is the first thing wrong in column order, or null; other lines are left out.
+    parse_error is the first thing wrong in column order, or null; other lines are left out.  Fields are cut
+    once, in a projection of their own, since costly columns with several uses are not merged into those; and
+    errors are made once: a condition on the partition keeps filters on them from being pushed below.
     """
-    line = F.col("line")
-    f = lambda a, b: field(line, a, b)
-    whole = lambda c: c.try_cast("int")
-    missing = lambda c, name: F.when(c.isNull(), f"missing {name}")
-    number = lambda c, name: F.coalesce(missing(c, name), F.when(whole(c).isNull(), f"{name} must be an integer"))
-    parts = {"latitude": [f(36, 37), f(39, 40), f(42, 46), f(47, 47)], "longitude": [f(49, 51), f(53, 54), f(56, 60), f(61, 61)]}
-    place = []
-    for axis, c in parts.items():
-        place += [missing(x, f"{axis} {n}") for x, n in zip(c, ("degrees", "minutes", "seconds", "hemisphere"), strict=True)]
-        place.append(m.coordinate_error(*c, axis[:3]))
-    error = F.coalesce(
-        missing(f(1, 2), "OAS code"),
-        missing(f(4, 9), "obstacle number"),
-        missing(f(11, 11), "verification status"),
-        missing(f(13, 14), "country identifier"),
-        F.when((F.upper(f(13, 14)) == "US") & f(16, 17).isNull(), "missing state identifier for US record"),
-        *place,
-        missing(f(63, 80), "obstacle type"),
-        F.when(f(82, 82).isNotNull() & whole(f(82, 82)).isNull(), "quantity must be an integer when present"),
-        number(f(84, 88), "AGL height"),
-        number(f(90, 94), "AMSL height"),
-        missing(f(119, 119), "action"),
-        missing(f(121, 127), "julian date"),
-        F.when(~f(121, 127).rlike(r"^\d+$"), "julian date must be a 7-digit numeric value"),
-    )
-    code = lambda a: F.upper(F.coalesce(f(a, a), F.lit("")))
-    return lines.where(is_record(line)).select(
-        *[c for c in lines.columns if c != "line"],
-        error.alias("parse_error"),
-        f(1, 2).alias("oas_code"),
-        f(4, 9).alias("obstacle_number"),
-        F.upper(f(11, 11)).alias("verification_status_code"),
-        F.upper(f(13, 14)).alias("country_identifier"),
-        F.upper(f(16, 17)).alias("state_identifier"),
-        f(19, 34).alias("city_name"),
-        m.coordinate(*parts["latitude"]).alias("latitude"),
-        m.coordinate(*parts["longitude"]).alias("longitude"),
-        f(63, 80).alias("obstacle_type"),
-        whole(f(82, 82)).alias("quantity"),
-        whole(f(84, 88)).alias("agl_height_ft"),
-        whole(f(90, 94)).alias("amsl_height_ft"),
-        code(96).alias("lighting_code"),
-        code(98).alias("horizontal_accuracy_code"),
-        code(100).alias("vertical_accuracy_code"),
-        code(102).alias("mark_indicator_code"),
-        f(104, 117).alias("faa_study_number"),
-        F.upper(f(119, 119)).alias("action"),
-        f(121, 127).alias("julian_date"),
+    keep = [c for c in lines.columns if c != "line"]
+    rows = lines.where(is_record(F.col("line")))
+    rows = rows.select(*keep, *[F.expr(f"btrim(substring(line, {a}, {b - a + 1}), ' \\t\\r\\n\\u000B\\u000C') AS __{name}") for name, (a, b) in FIELDS.items()])
+    rows = rows.select("*", *[F.expr(f"try_cast(__{c} AS {t}) AS __{c}_n") for c, t in NUMBERS.items()])
+    error = " ".join(f"WHEN {rule} THEN '{message}'" for rule, message in RULES)
+    place = "round(if(upper({h}) = '{minus}', -1, 1) * ({d}_n + {m}_n / 60.0D + {s}_n / 3600.0D), 8) AS {axis}"
+    return rows.select(
+        *keep,
+        F.expr(f"CASE WHEN spark_partition_id() < 0 THEN '' {error} END AS parse_error"),
+        *[F.expr(f"nullif(__{c}, '') AS {name}") for c, name in (("oas", "oas_code"), ("number", "obstacle_number"))],
+        *[F.expr(f"nullif(upper(__{c}), '') AS {name}") for c, name in (("verification", "verification_status_code"), ("country", "country_identifier"), ("state", "state_identifier"))],
+        F.expr("nullif(__city, '') AS city_name"),
+        *[F.expr(place.format(**a)) for a in AXES],
+        F.expr("nullif(__kind, '') AS obstacle_type"),
+        *[F.expr(x) for x in ("__quantity_n AS quantity", "__agl_n AS agl_height_ft", "__amsl_n AS amsl_height_ft")],
+        *[F.expr(f"upper(__{c}) AS {name}") for c, name in (("lighting", "lighting_code"), ("horizontal", "horizontal_accuracy_code"), ("vertical", "vertical_accuracy_code"), ("mark", "mark_indicator_code"))],
+        *[F.expr(x) for x in ("nullif(__study, '') AS faa_study_number", "nullif(upper(__action), '') AS action", "nullif(__julian, '') AS julian_date")],
     )
 
 

@@ -71,12 +71,20 @@ def url_exists(url: str, timeout: float = 30, opener: Callable = urllib.request.
     return False
 
 
-def with_retry(action: Callable, transient: tuple = (OSError,), attempts: int = 3, base: float = 8, sleep: Callable = time.sleep):
-    """action(), repeated after base**attempt seconds on transient errors; the last error is raised."""
+def is_transient(error: Exception) -> bool:
+    """Whether a request may succeed when it is repeated: not where the server has refused it."""
+    if isinstance(error, urllib.error.HTTPError):
+        return error.code == 429 or error.code >= 500
+    return isinstance(error, OSError)
+
+
+def with_retry(action: Callable, transient: tuple | Callable = is_transient, attempts: int = 3, base: float = 8, sleep: Callable = time.sleep):
+    """action(), repeated after base**attempt seconds on transient errors (a test or exception types); the last error is raised."""
+    passing = transient if callable(transient) and not isinstance(transient, type) else lambda e: isinstance(e, transient)
     for attempt in range(1, attempts + 1):
         try:
             return action()
-        except transient:
-            if attempt == attempts:
+        except Exception as e:
+            if attempt == attempts or not passing(e):
                 raise
             sleep(base**attempt)
