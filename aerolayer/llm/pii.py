@@ -4,7 +4,7 @@ Base spans follow fixed patterns and checks.  Besides, high-recall generators pr
 phone numbers, written-out mail addresses, social security numbers, bank accounts, secrets); features of their
 format and of the 40 characters before them go to boosted trees, which become one SQL expression; spans whose
 score reaches the threshold calibrated for their kind and that overlap neither a base span nor a better one
-are added.  The trees are trained on the driver on generated sentences that pass the same expressions.
+are added (a walk from left to right decides).  The trees are trained on the driver on generated sentences that pass the same expressions.
 Everything of one text stays in arrays of its row: nothing is exploded or shuffled.
 """
 
@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from .boosting import Trees, boost
 from .common import table
 
-#: Base kinds and their patterns.  Repetitions that nothing follows are possessive, which matches the same and needs no stack.
+#: Base kinds and their patterns.  Repetitions that nothing follows are possessive, which matches the same and needs no
+#: stack.  A match starts where a run of its first characters does or where the last match ended: from within a run
+#: nothing more can match, and trying would take the square of the run's length.
 BASE = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]++(?:\.[0-9]++){3}",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
@@ -43,45 +45,51 @@ CUES = {
     "bank": r"iban|account|bank|konto|cuenta|compte",
     "other": r"order|invoice|page|ref|version|serial|isbn|model|score|results?|between|pages",
 }
-BEFORE, STEP = 40, 256
+BEFORE, NEAR, STEP, CHUNK = 40, 14, 256, 1024
 #: Sentences generated for training, and the precision that calibrates thresholds.
 SENTENCES, PRECISION, SEED = 4000, 0.97, 13
 
+SPAN = "struct<kind:string,start:int,end:int,found:string>"
+SCORED = "struct<start:int,score:double,end:int,kind:string>"
+
+
+def bind(value: Column, body) -> Column:
+    """body(value), with value computed once whatever its uses."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scan(xs: Column, zero: Column, out: str, step) -> Column:
+    """step(carry, x) = struct(carry, out) along xs: the array of all ``out`` (a type), in blocks, so that no long array is copied for each element."""
+    none = F.array().cast(f"array<{out}>")
+
+    def within(carry: Column, part: Column) -> Column:
+        begin = F.struct(carry.alias("carry"), none.alias("out"))
+        return F.aggregate(part, begin, lambda a, x: bind(step(a["carry"], x), lambda r: F.struct(r["carry"].alias("carry"), F.concat(a["out"], F.array(r["out"])).alias("out"))))
+
+    def over(cell: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(cell) - 1) / STEP).cast("int"))
+        begin = F.struct(zero.alias("carry"), F.array().cast(f"array<array<{out}>>").alias("out"))
+        add = lambda a, k: bind(within(a["carry"], F.slice(cell, k * STEP + 1, F.lit(STEP))), lambda r: F.struct(r["carry"].alias("carry"), F.concat(a["out"], F.array(r["out"])).alias("out")))
+        return F.flatten(F.aggregate(blocks, begin, add, lambda a: a["out"]))
+
+    return bind(xs, lambda cell: F.when(F.size(cell) > 0, over(cell)).otherwise(none))
+
 
 def spans(text: Column, kind: str, pattern: str) -> Column:
     """array of (kind, start, end, found): leftmost non-overlapping matches, in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    #: Length of what precedes each match, and of the match.
-    gap = lambda i: F.length(F.element_at(pieces, i + 1))
-    sizes = F.transform(found, lambda m, i: gap(i) + F.length(m))
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-
-    def offsets(cell: Column) -> Column:
-        """(kind, start, end, found) of matches cell.found with steps cell.sizes: sums over blocks, then within a block."""
-        n = F.size(cell["sizes"])
-        starts = F.aggregate(
-            F.sequence(F.lit(0), F.floor((n - 1) / STEP).cast("int")),
-            F.array(F.lit(0)),
-            lambda a, k: F.concat(a, F.array(F.element_at(a, -1) + total(F.slice(cell["sizes"], k * STEP + 1, F.lit(STEP))))),
-        )
 
-        def place(pair: Column) -> Column:
-            return F.transform(
-                pair["found"],
-                lambda m, i: F.struct(
-                    F.lit(kind).alias("kind"),
-                    (F.element_at(pair["starts"], F.floor(i / STEP).cast("int") + 1) + total(F.slice(pair["sizes"], F.floor(i / STEP).cast("int") * STEP + 1, F.pmod(i, F.lit(STEP)) + 1)) - F.length(m)).alias("start"),
-                    (F.element_at(pair["starts"], F.floor(i / STEP).cast("int") + 1) + total(F.slice(pair["sizes"], F.floor(i / STEP).cast("int") * STEP + 1, F.pmod(i, F.lit(STEP)) + 1))).alias("end"),
-                    m.alias("found"),
-                ),
-            )
-
-        return F.element_at(F.transform(F.array(F.struct(cell["sizes"].alias("sizes"), cell["found"].alias("found"), starts.alias("starts"))), place), 1)
+    def place(cell: Column) -> Column:
+        #: Each match with what precedes it.
+        gaps = F.transform(cell["found"], lambda m, i: F.struct(m.alias("m"), F.length(F.element_at(cell["pieces"], i + 1)).alias("gap")))
+        step = lambda at, x: F.struct(
+            (at + x["gap"] + F.length(x["m"])).alias("carry"),
+            F.struct(F.lit(kind).alias("kind"), (at + x["gap"]).alias("start"), (at + x["gap"] + F.length(x["m"])).alias("end"), x["m"].alias("found")).alias("out"),
+        )
+        return scan(gaps, F.lit(0), SPAN, step)
 
-    one = F.array(F.struct(sizes.alias("sizes"), found.alias("found")))
-    none = F.lit(None).cast("array<struct<kind:string,start:int,end:int,found:string>>")
-    return F.element_at(F.transform(one, lambda c: F.when(F.size(c["found"]) > 0, offsets(c)).otherwise(F.coalesce(none, F.array()))), 1)
+    return bind(F.struct(found.alias("found"), pieces.alias("pieces")), place)
 
 
 def digits_of(x: Column) -> Column:
@@ -123,29 +131,55 @@ def with_spans(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("__base", base).withColumn("__proposed", F.concat(*[f"__{k}" for k in PROPOSED])).drop(*[f"__{k}" for k in KINDS])
 
 
-def features(s: Column, text: Column) -> list[Column]:
-    """Format and context of span s, as numbers."""
-    before = F.lower(F.substring(text, F.greatest(s["start"] - BEFORE + 1, F.lit(1)), F.least(F.lit(BEFORE), s["start"])))
-    last, following = F.substring(text, s["start"], F.least(F.lit(1), s["start"])), F.substring(text, s["end"] + 1, F.lit(1))
-    digits, flag = digits_of(s["found"]), lambda c: F.coalesce(c.cast("int"), F.lit(0))
-    out = [flag(s["kind"] == k) for k in PROPOSED]
-    out += [flag(before.rlike(c)) for c in CUES.values()]
-    out += [flag(last.rlike(r"[\w.+-]")), flag(following.rlike(r"[\w@+]")), flag(before.rlike(r"[0-9]")), flag(last.rlike("[:(]"))]
-    out += [F.length(s["found"]), F.length(digits), F.length(F.regexp_replace(s["found"], "[^A-Za-z]", "")), F.length(F.regexp_replace(s["found"], r"[^\x20.-]", ""))]
-    out += [F.size(F.array_distinct(F.split(digits, ""))), flag(s["found"].rlike(r"[.]")), flag(s["found"].rlike(r"[(]")), flag(s["found"].rlike(r"(?i)\(at\)|\[at\]|dot")), flag(s["found"].rlike("^(?:000|666|9|0)"))]
-    return [x.cast("double") for x in out]
+def chunks_of(text: Column) -> Column:
+    """The text in pieces of CHUNK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def piece(chunks: Column, start: Column, size: Column | int) -> Column:
+    """Up to ``size`` (at most CHUNK) code points from ``start``, without a walk from the text's beginning."""
+    k = F.floor(start / CHUNK).cast("int")
+    two = F.concat(F.coalesce(F.get(chunks, k), F.lit("")), F.coalesce(F.get(chunks, k + 1), F.lit("")))
+    return F.substring(two, start - k * CHUNK + 1, F.lit(size) if isinstance(size, int) else size)
+
+
+def features(s: Column, chunks: Column) -> Column:
+    """Format and context of span s, as an array of numbers."""
+    context = F.struct(
+        F.lower(piece(chunks, F.greatest(s["start"] - BEFORE, F.lit(0)), F.least(F.lit(BEFORE), s["start"]))).alias("before"),
+        piece(chunks, s["end"], 1).alias("following"),
+        digits_of(s["found"]).alias("digits"),
+        s["found"].alias("found"),
+        s["kind"].alias("kind"),
+    )
+    flag = lambda c: F.coalesce(c.cast("int"), F.lit(0))
+
+    def numbers(c: Column) -> Column:
+        near, last = F.right(c["before"], F.lit(NEAR)), F.right(c["before"], F.lit(1))
+        out = [flag(c["kind"] == k) for k in PROPOSED]
+        out += [flag(c["before"].rlike(x)) for x in CUES.values()]
+        out += [flag(near.rlike(x)) for x in CUES.values()]
+        out += [flag(last.rlike(r"[\w.+-]")), flag(c["following"].rlike(r"[\w@+]")), flag(near.rlike(r"[0-9]")), flag(last.rlike("[:(]"))]
+        out += [F.length(c["found"]), F.length(c["digits"]), F.length(F.regexp_replace(c["found"], "[^A-Za-z]", "")), F.length(F.regexp_replace(c["found"], r"[^\x20.-]", ""))]
+        out += [F.size(F.array_distinct(F.split(c["digits"], ""))), flag(c["found"].rlike(r"[.]")), flag(c["found"].rlike(r"[(]")), flag(c["found"].rlike(r"(?i)\(at\)|\[at\]|dot")), flag(c["found"].rlike("^(?:000|666|9|0)"))]
+        return F.array(*[x.cast("double") for x in out])
+
+    return bind(context, numbers)
 
 
-def generated(rng: np.random.Generator, n: int) -> list[tuple[str, str | None]]:
-    """Sentences and the personal datum in each, None where a look-alike stands in its place."""
+#: Numbers in features: one for each proposed kind, two for each cue, and 13 of format.
+WIDTH = len(PROPOSED) + 2 * len(CUES) + 13
+
+
+def generated(rng: np.random.Generator, n: int) -> list[tuple[str, list[str]]]:
+    """Texts of one to four clauses and the personal data in them; look-alikes and plain numbers stand between."""
     syllables = "an er the on in le de que la ment ción ung keit tion ing".split()
     word = lambda: "".join(rng.choice(syllables, rng.integers(1, 4)))
     digit = lambda k: "".join(map(str, rng.integers(0, 10, k)))
     sep = lambda: str(rng.choice(["-", " ", "."]))
-    out = []
-    for _ in range(n):
-        kind, true = int(rng.integers(5)), rng.random() < 0.5
-        cue, datum = "", ""
+
+    def clause() -> tuple[str, str | None]:
+        kind, true = int(rng.integers(6)), rng.random() < 0.5
         if kind == 0:
             at, dot = rng.choice(["(at)", "[at]", " (at) ", " [at] "] if true else [" at "]), rng.choice(["(dot)", " dot ", "."] if true else ["."])
             datum = word() + at + word() + dot + rng.choice(["com", "org", "de", "net"] if true else ["The", "En", "on", "la"])
@@ -153,7 +187,7 @@ def generated(rng: np.random.Generator, n: int) -> list[tuple[str, str | None]]:
         elif kind == 1:
             a = sep()
             datum = f"({digit(3)}) {digit(3)}{a}{digit(4)}" if rng.random() < 0.5 else f"{digit(3)}{a}{digit(3)}{a}{digit(4)}"
-            cue = rng.choice(["phone ", "tel. ", "call ", "fax: ", "mobile "] if true else ["order ", "invoice ", "between ", "pages ", "serial ", "version "])
+            cue = rng.choice(["phone ", "tel. ", "call ", "fax: ", "mobile ", "call phone ", "phone: "] if true else ["order ", "invoice ", "between ", "pages ", "serial ", "version "])
         elif kind == 2:
             a = rng.choice(["-", " "])
             datum = f"{rng.integers(100, 665)}{a}{digit(2)}{a}{digit(4)}"
@@ -162,25 +196,40 @@ def generated(rng: np.random.Generator, n: int) -> list[tuple[str, str | None]]:
             groups = " ".join(digit(4) for _ in range(rng.integers(3, 6)))
             datum = rng.choice(["DE", "FR", "ES", "GB"]) + digit(2) + " " + groups if true else rng.choice(["AB", "XK", "QT"]) + digit(2) + rng.choice(["ERHE", "THTI", "ONAT"]) + digit(4)
             cue = rng.choice(["iban ", "account ", "bank: ", ""] if true else ["model ", "serial ", "", "ref "])
+        elif kind == 4:
+            datum = rng.choice(["password", "token", "api_key", "secret"]) + ("=" if true else ": ") + ("".join(rng.choice(list("abcdef0123456789"), rng.choice([8, 14, 40, 300]))) if true else word() + word())
+            cue = ""
         else:
-            datum = rng.choice(["password", "token", "api_key", "secret"]) + ("=" if true else ": ") + ("".join(rng.choice(list("abcdef0123456789"), 14)) if true else word() + word())
-        text = " ".join(word() for _ in range(rng.integers(0, 8)))
-        out.append((f"{text} {cue}{datum} {word()} {word()}.".strip(), datum if true else None))
+            datum, cue, true = digit(rng.integers(1, 5)), rng.choice(["room ", "in ", "at ", "", "since ", "on "]), False
+        words = [word() for _ in range(rng.integers(0, 8))]
+        tail = [word() for _ in range(rng.integers(1, 3))]
+        return f"{' '.join(words)} {cue}{datum} {' '.join(tail)}".strip(), str(datum) if true else None
+
+    out = []
+    for _ in range(n):
+        made = [clause() for _ in range(rng.integers(1, 5))]
+        text = made[0][0]
+        for c, _ in made[1:]:
+            text += rng.choice([". ", ", ", " ", "; ", "\n"]) + c
+        out.append((text + ".", [d for _, d in made if d]))
     return out
 
 
 def select_features(rows: DataFrame, text: str) -> DataFrame:
-    return rows.withColumn("__proposed", F.transform("__proposed", lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "found")], F.array(*features(s, F.col(text))).alias("x"))))
+    """Adds the features x to the spans of __proposed."""
+    add = lambda cell: F.transform(cell["s"], lambda s: F.struct(*[s[k].alias(k) for k in ("kind", "start", "end", "found")], features(s, cell["chunks"]).alias("x")))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,found:string,x:array<double>>>")
+    return rows.withColumn("__proposed", bind(F.col("__proposed"), lambda p: F.when(F.size(p) > 0, bind(F.struct(p.alias("s"), chunks_of(F.col(text)).alias("chunks")), add)).otherwise(none)))
 
 
 @cache
 def trained(spark: SparkSession) -> tuple[Trees, dict[str, float]]:
     """The trees, and the threshold of each kind: the least at which PRECISION holds on half of the sentences."""
     made = generated(np.random.default_rng(SEED), SENTENCES)
-    rows = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(made)], "i int, t string, d string").coalesce(1)
+    rows = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(made)], "i int, t string, d array<string>").coalesce(1)
     got = select_features(with_spans(rows, "t"), "t").select("i", "t", "d", F.explode("__proposed").alias("s")).select("i", "s.kind", "s.found", "d", "s.x").orderBy("i", "s.start").collect()
     x = np.array([r.x for r in got])
-    y = np.array([float(bool(r.d) and (r.found in r.d or r.d in r.found) and len(r.found) >= 0.8 * len(r.d)) for r in got])
+    y = np.array([float(any((r.found in d or d in r.found) and len(r.found) >= 0.8 * len(d) for d in r.d)) for r in got])
     fit = np.array([r.i % 2 == 0 for r in got])
     trees = boost(x[fit], y[fit], trees=20, depth=3, rate=0.4)
     p, kinds, cut = trees.logits(x[~fit]), np.array([r.kind for r in got])[~fit], {}
@@ -191,44 +240,85 @@ def trained(spark: SparkSession) -> tuple[Trees, dict[str, float]]:
     return trees, cut
 
 
+def added(base: Column, chosen: Column) -> Column:
+    """The spans of ``chosen`` (SCORED) that overlap no base span, and of those that overlap in turn the better one.
+
+    A walk from left to right holds the best span of those that overlap the one held before; ties go to the
+    earlier span.  Base spans stay whatever overlaps them.
+    """
+    first, last = F.lit(2**31 - 1), F.lit(-1)
+    fixed = F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(float("inf")).alias("score"), b["end"].alias("end"), b["kind"].alias("kind")))
+    is_base = lambda s: s["score"] == float("inf")
+    #: What starts before a span and reaches into it, then what starts within it.
+    mark = lambda s, hit: F.when(is_base(s) | ~hit, s)
+    forth = lambda end, s: F.struct(F.when(is_base(s), F.greatest(end, s["end"])).otherwise(end).alias("carry"), mark(s, s["start"] < end).alias("out"))
+    back = lambda start, s: F.struct(F.when(is_base(s), s["start"]).otherwise(start).alias("carry"), mark(s, s["end"] > start).alias("out"))
+    # Sorted by start; from the right, a base span at the same start has been seen before the others.
+    some = lambda xs: F.filter(xs, lambda s: s.isNotNull())
+    free = some(scan(F.array_sort(F.concat(fixed, chosen)), last, SCORED, forth))
+    free = F.filter(some(scan(F.reverse(free), first, SCORED, back)), lambda s: ~is_base(s))
+    none = F.lit(None).cast(SCORED)
+
+    def walk(held: Column, s: Column) -> Column:
+        apart = held.isNull() | (s["start"] >= held["end"])
+        return F.struct(F.when(apart | (s["score"] > held["score"]), s).otherwise(held).alias("carry"), F.when(apart, held).alias("out"))
+
+    #: A last span beyond all others lets the one held go.
+    stop = F.array(F.struct(first.alias("start"), F.lit(0.0).alias("score"), first.alias("end"), F.lit("").alias("kind")))
+    return some(scan(F.concat(F.array_sort(free), stop), none, SCORED, walk))
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
     """docs (with doc_id and text) plus counts and digests of the personal data in each whole text.
 
     n_email, n_ip, n_card, n_phone count base spans; base_sha256 is the SHA-256 of kind:start:end of those by
     kind and start, comma-joined; spans lists them and the added ones alike.  Null and empty texts have none.
-    Every row gives a row; input columns with the names of the results are replaced.
+    Every row gives a row; input columns with the names of the results are replaced.  Texts of any length are
+    taken whole, in time that grows with their length.
     """
     trees, cut = trained(docs.sparkSession)
     results = [*(f"n_{k}" for k in BASE), "base_sha256", "spans"]
     rows = docs.drop(*results).withColumn("__text", F.coalesce("text", F.lit("")))
     rows = select_features(with_spans(rows, "__text"), "__text")
-    scored = F.transform("__proposed", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), trees.column([s["x"][i] for i in range(len(features(F.struct(*[F.lit("").alias("kind"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("found")]), F.lit(""))))]).alias("score")))
+    score = lambda s: trees.column([s["x"][i] for i in range(WIDTH)])
+    scored = F.transform("__proposed", lambda s: F.struct(s["start"].alias("start"), score(s).alias("score"), s["end"].alias("end"), s["kind"].alias("kind")))
     enough = lambda s: F.coalesce(*[F.when(s["kind"] == k, s["score"] >= F.lit(c)) for k, c in cut.items()])
-    overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    rows = rows.withColumn("__chosen", F.filter(scored, lambda s: enough(s) & ~F.exists("__base", lambda b: overlap(s, b))))
-    better = lambda o, s: (o["score"] > s["score"]) | ((o["score"] == s["score"]) & ((o["start"] < s["start"]) | ((o["start"] == s["start"]) & (o["kind"] < s["kind"]))))
-    rows = rows.withColumn("__added", F.filter("__chosen", lambda s: ~F.exists("__chosen", lambda o: overlap(o, s) & better(o, s))))
+    chosen = F.filter(scored, enough)
+    none = F.array().cast(f"array<{SCORED}>")
+    rows = rows.withColumn("__added", bind(chosen, lambda c: F.when(F.size(c) > 0, bind(F.col("__base"), lambda b: added(b, c))).otherwise(none)))
     named = lambda c: F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
     count = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k))
     return rows.select(
         *[c for c in docs.columns if c not in results],
         *[count(k).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(F.array_join(named("__base"), ","), 256).alias("base_sha256"),
-        F.array_join(F.concat(named("__base"), named("__added")), ",").alias("spans"),
+        F.array_join(F.concat(named("__base"), named(F.array_sort("__added"))), ",").alias("spans"),
     )
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with every span of personal_data replaced by its kind in angle brackets; adds ``spans``."""
+    """docs with every span of personal_data replaced by its kind in angle brackets; adds ``spans``.
+
+    Of spans that overlap the first is named and all are taken out.
+    """
     rows = personal_data(docs)
     parts = F.transform(F.filter(F.split("spans", ","), lambda s: s != ""), lambda s: F.split(s, ":"))
-    order = F.array_sort(F.transform(parts, lambda p: F.struct(p[1].cast("int").alias("start"), p[2].cast("int").alias("end"), p[0].alias("kind"))))
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    step = lambda a, s: F.struct(
-        F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substring("text", a["at"] + 1, s["start"] - a["at"]), F.lit("<"), s["kind"], F.lit(">"))).alias("out"), F.greatest(a["at"], s["end"]).alias("at")
-    )
-    done = F.aggregate(order, begin, step, lambda a: F.concat(a["out"], F.substring("text", a["at"] + 1, F.length("text"))))
-    return rows.withColumn("text", F.when(F.col("text").isNotNull(), done)).select(*docs.columns, *(["spans"] if "spans" not in docs.columns else []))
+    whole = F.struct(F.length("text").alias("start"), F.length("text").alias("end"), F.lit("").alias("kind"))
+    order = F.concat(F.array_sort(F.transform(parts, lambda p: F.struct(p[1].cast("int").alias("start"), p[2].cast("int").alias("end"), p[0].alias("kind")))), F.array(whole))
+
+    def text_between(chunks: Column, a: Column, b: Column) -> Column:
+        k = F.floor(a / CHUNK).cast("int")
+        held = F.array_join(F.slice(chunks, k + 1, F.floor(b / CHUNK).cast("int") - k + 1), "")
+        return F.substring(held, a - k * CHUNK + 1, b - a)
+
+    def cut(chunks: Column) -> Column:
+        step = lambda at, s: F.struct(
+            F.greatest(at, s["end"]).alias("carry"),
+            F.when(s["start"] < at, "").otherwise(F.concat(text_between(chunks, at, s["start"]), F.when(s["kind"] == "", "").otherwise(F.concat(F.lit("<"), s["kind"], F.lit(">"))))).alias("out"),
+        )
+        return F.array_join(scan(order, F.lit(0), "string", step), "")
+
+    return rows.withColumn("text", F.when(F.col("text").isNotNull(), bind(chunks_of(F.col("text")), cut))).select(*docs.columns, *(["spans"] if "spans" not in docs.columns else []))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
