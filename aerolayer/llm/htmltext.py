@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+RAW_END = {t: re.compile(f"</{t}", re.I | re.A) for t in RAW}
+#: Where an element whose end is missing ends instead: at the next tag of a block.
+RECOVER = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I | re.A)
 #: Elements that a start tag of the key closes, up to the boundary set.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = frozenset("ul ol menu dl table tbody thead tfoot html body div section article main aside nav".split())
@@ -64,7 +68,7 @@ def parse(source: str) -> Node:
             if not text.isspace():
                 Node("#text", "", at).text = text
 
-    pos, size, lower = 0, len(source), None
+    pos, size, endless = 0, len(source), set()
     while pos < size:
         m = TOKEN.match(source, pos)
         pos = m.end()
@@ -77,10 +81,13 @@ def parse(source: str) -> Node:
         tag, closing = tag.lower(), m[1]
         if tag in RAW and not closing:
             if not m[3].endswith("/") or tag not in ("svg", "math", "object", "iframe"):
-                lower = source.lower() if lower is None else lower
-                end = lower.find(f"</{tag}", pos)
-                end = size if end < 0 else end
-                pos = source.find(">", end) + 1 or size
+                end = None if tag in endless else RAW_END[tag].search(source, pos)
+                if end:
+                    pos = source.find(">", end.start()) + 1 or size
+                else:
+                    endless.add(tag)
+                    end = RECOVER.search(source, pos)
+                    pos = end.start() if end else size
             continue
         if tag == "br" or tag in VOID:
             run.append(" ")
@@ -291,6 +298,7 @@ def labelled(page: str, main: str) -> tuple[list[Node], np.ndarray, np.ndarray]:
     return nodes, x, (own > 0.5 * all_).astype(float)
 
 
+@cache
 def train(pages: int = PAGES, seed: int = SEED) -> Trees:
     rng = np.random.default_rng(seed)
     made = [labelled(*generated_page(rng)) for _ in range(pages)]
@@ -314,7 +322,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     """pages (with a column html) plus text string and n_chars long, the text's code points.
 
     Null and empty pages and pages without main text give an empty text.  Input columns named text or
-    n_chars are replaced, other columns stay, html goes; repeated rows give repeated rows.
+    n_chars are replaced, other columns stay, html goes; repeated rows give repeated rows.  Pages of any length are
+    parsed whole.  An element without an end tag (a script, drawing, list of options and the like) ends at the next
+    block.
     """
     model = train()
     shared = pages.sparkSession.sparkContext.broadcast((model.feature, model.threshold, model.leaf, model.base))
