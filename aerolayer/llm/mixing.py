@@ -1,10 +1,10 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by source, exact length and hash bucket.  A source's target is met by whole passes
-over its documents and one partial pass; the partial pass first takes its share of every length, then long
-documents that still fit, and bounded-knapsack dynamic programming over the remaining lengths fits what is
-left of the budget.  Which documents of a length are taken follows a seeded hash: whole buckets, and ranks
-only within the one bucket where a quota ends.
+over its documents and one partial pass; the partial pass first takes its share of every length, then
+bounded-knapsack dynamic programming over the remaining documents fits what is left of the budget, in units
+of several words first where that is long.  Which documents of a length are taken follows a seeded hash:
+whole buckets, and ranks only within the one bucket where a quota ends.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from .common import WORD, Scratch, table
 
-#: Weights of sources in code point order, repeating; passes a document may have; seed; hash buckets of a length.
-WEIGHTS, MOST, SEED, BUCKETS = (5, 2, 1), 3, 17, 64
-#: Budgets up to this many words are fitted exactly.
-EXACT = 1 << 16
+#: Weights of sources in code point order, repeating; passes a document may have; seed.
+WEIGHTS, MOST, SEED = (5, 2, 1), 3, 17
+#: Least hash buckets of a length, and documents of a length in each, about, where it has more.
+BUCKETS, BUCKET_ROWS = 64, 1024
+#: Sums that one run of the dynamic programming tells apart; longer budgets take larger units first.
+SUMS = 1 << 20
 
 
 def water_fill(sizes: list[int], weights: list[float], most: float = MOST) -> list[float]:
@@ -41,15 +43,15 @@ def water_fill(sizes: list[int], weights: list[float], most: float = MOST) -> li
 
 
 def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length to take, so that their words come as near below ``budget`` as they can.
+    """How many of each length to take, so that their sum comes as near below ``budget`` as it can.
 
     Bounded knapsack over bitsets: counts are split into powers of two, and each reachable sum remembers
     the part that reached it first.
     """
     parts = []
-    for i, (n, c) in enumerate(zip(lengths.tolist(), counts.tolist(), strict=True)):
-        c = min(c, budget // n) if n else 0
-        k = 1
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        n = int(lengths[i])
+        c, k = min(int(counts[i]), budget // n) if n else 0, 1
         while c > 0:
             parts.append((i, min(k, c)))
             c, k = c - k, 2 * k
@@ -58,9 +60,11 @@ def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         new = (reached << (int(lengths[i]) * k)) & mask & ~reached
         if new:
             raw = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
-            first[np.flatnonzero(np.unpackbits(raw, bitorder="little", count=budget + 1))] = p
+            at = np.flatnonzero(raw)
+            bits = np.unpackbits(raw[at], bitorder="little").reshape(-1, 8)
+            first[(8 * at[:, None] + np.arange(8))[bits.astype(bool)]] = p
             reached |= new
-        if reached == mask:
+        if reached >> budget:
             break
     take, at = np.zeros(len(lengths), np.int64), reached.bit_length() - 1
     while at > 0:
@@ -70,31 +74,50 @@ def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return take
 
 
+def fill(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many of each length to take for ``budget`` words: subset sums in units of at most budget / SUMS words, then finer.
+
+    Lengths are rounded up to units, so that no round takes too much; the last round's unit is a word.
+    """
+    take, left = np.zeros(len(lengths), np.int64), budget
+    while left > 0:
+        unit = -(-left // SUMS)
+        open_ = (counts > take) & (lengths > 0) & (lengths <= left)
+        if not open_.any():
+            break
+        more = subset_sum(-(-lengths[open_] // unit), (counts - take)[open_], left // unit)
+        take[open_] += more
+        left -= int((more * lengths[open_]).sum())
+        if unit == 1:
+            break
+        if not more.any():
+            # Rounded up, nothing fits: the longest that does is at least half of a unit short of left.
+            i = np.flatnonzero(open_)[np.argmax(lengths[open_])]
+            take[i] += 1
+            left -= int(lengths[i])
+    return take
+
+
 def partial_pass(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length the partial pass takes, for ``budget`` words."""
+    """How many documents of each length the partial pass takes, for ``budget`` words.
+
+    Every length gives its share, rounded down, and ``fill`` spends the rest; where that leaves words, smaller
+    shares and at last none are tried, which leaves more documents to choose from, and the nearest is taken.
+    """
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     if total <= budget:
         return counts.copy()
-    take = np.floor(counts * (budget / total)).astype(np.int64)
-    left = budget - int((take * lengths).sum())
-    for i in np.argsort(-lengths, kind="stable"):
-        if left <= EXACT:
+    best, rest = np.zeros(len(lengths), np.int64), budget
+    for part in (1.0, 0.5, 0.0):
+        take = np.floor(counts * (lengths > 0) * (part * budget / total)).astype(np.int64)
+        take += fill(lengths, counts - take, budget - int((take * lengths).sum()))
+        left = budget - int((take * lengths).sum())
+        if left < rest:
+            best, rest = take, left
+        if left == 0:
             break
-        if lengths[i] > 0:
-            k = min(int(counts[i] - take[i]), max(0, left - EXACT // 2) // int(lengths[i]))
-            take[i] += k
-            left -= k * int(lengths[i])
-    open_ = (counts > take) & (lengths > 0) & (lengths <= left)
-    if left > EXACT and open_.any():
-        # What is still open has over left - EXACT // 2 words, more than half of left: one fits, and the longest is best.
-        i = np.flatnonzero(open_)[np.argmax(lengths[open_])]
-        take[i] += 1
-        left -= int(lengths[i])
-        open_ = (counts > take) & (lengths > 0) & (lengths <= left)
-    if 0 < left <= EXACT and open_.any():
-        take[open_] += subset_sum(lengths[open_], (counts - take)[open_], left)
-    return take
+    return best
 
 
 def size_of(text: Column) -> Column:
@@ -113,7 +136,11 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int =
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "mix")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"))
     rows = rows.withColumn("order", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(seed)))
-    rows = scratch.write(rows.withColumn("bucket", F.pmod("order", F.lit(BUCKETS)).cast("int")), "rows")
+    rows = scratch.write(rows, "rows")
+    # The most frequent length decides on the number of buckets; rarer ones have at most as many as documents.
+    frequent = rows.where("size > 0").groupBy("source", "size").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    buckets = max(BUCKETS, 1 << (frequent // BUCKET_ROWS).bit_length())
+    rows = rows.withColumn("bucket", F.pmod("order", F.lit(buckets)).cast("int"))
     counts = scratch.write(rows.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "counts")
     sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     #: One row for each source: a source list is a table of contents, not corpus data.
@@ -134,7 +161,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int =
     told = lengths.join(goals, lengths["source"].eqNullSafe(goals["source"])).select(lengths["source"], "size", "n", "source_size", "target")
     takes = told.groupBy("source").applyInArrow(plan, "source string, size long, take long, passes long, source_size long, target double")
     takes = scratch.write(takes.withColumnsRenamed({"source": "s", "size": "l"}), "takes")
-    # A length's quota fills its buckets in order: at most BUCKETS rows for each length.
+    # A length's quota fills its buckets in order: one row for each bucket of BUCKET_ROWS documents.
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     quotas = counts.withColumn("before", before).join(takes, counts["source"].eqNullSafe(F.col("s")) & (F.col("size") == F.col("l")))
     quota = F.greatest(F.lit(0), F.least(F.col("n"), F.col("take") - F.col("before"))).cast("long")
