@@ -1,12 +1,17 @@
-"""Masked pseudo-likelihood: a bidirectional window network scores documents.
-
-Words fall into hash buckets whose counts are taken over all documents, and buckets into CLASSES classes of
-about equal mass (frequent buckets alone).  The network reads the classes of the two words on each side of a
-masked word and predicts its class; the word within its class follows from the counts:
-log p(word | both sides) = log p(class | l2, l1, r1, r2) + log(count of its bucket / count of its class).
-The outer words are read in OUTER coarser classes.  Training data are the counts of all (l2, l1, r1, r2, class)
-cells over all documents, summed before they leave the executors; there are at most CELLS of them whatever
-the corpus, and the numpy network trains on those on the driver, the same at every partitioning.
+"""Masked pseudo-likelihood: a bidirectional window network and the whole corpus' contexts score documents.
+
+Two things are gathered over all documents.  First, words fall into hash buckets, and buckets into CLASSES
+classes of about equal mass (frequent buckets alone); the network reads the classes of the two words on each
+side of a masked word and predicts its class, and so, by the bucket's share of its class, the word itself.  It
+is trained in numpy on the counts of all class contexts of the corpus.  Second, every pair of neighbours
+(left word, right word) has the words that stand between it anywhere in the corpus counted, in tables that
+grow with the corpus and are never gathered in one place.  The network's distribution is the prior of each
+such context, worth PRIOR words, and the counts update it:
+
+    p(word | both sides) = (c + PRIOR * p_network(word | both sides)) / (n + PRIOR)
+
+where n words have been seen between these neighbours elsewhere, c of them this one: the masked word itself is
+not counted.  Words and neighbours are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, release, table
 
 BUCKETS = 1 << 18
 CLASSES, OUTER = 32, 8
@@ -28,22 +35,75 @@ CLASSES, OUTER = 32, 8
 INNER_IDS, OUTER_IDS = CLASSES + 1, OUTER + 1
 CELLS = OUTER_IDS * INNER_IDS * INNER_IDS * OUTER_IDS * CLASSES
 DIM, EPOCHS, BATCH, SEED = 24, 8, 4096, 5
+#: Words that the network's prediction counts for; words of the corpus in a part of the context tables, about; parts of the cells.
+PRIOR, PART_WORDS, CELL_PARTS = 4.0, 2_000_000, 64
 
 
-class Buckets(dict):
-    """The hash bucket of each word of texts; a bounded number of words is remembered."""
+class Words(dict):
+    """The 64-bit hash of each word of texts; a bounded number of words is remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        bucket = zlib.crc32(word) % BUCKETS
-        if len(self) < 500_000:
-            self[word] = bucket
-        return bucket
+        code = xxhash.xxh3_64_intdigest(word)
+        if len(self) < 400_000:
+            self[word] = code
+        return code
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of all words, and the number of words of each text."""
+        """Hashes of all words, and the number of words of each text."""
         docs = [(t or b"").lower().split() for t in texts]
         sizes = np.array([len(d) for d in docs], np.int64)
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, int(sizes.sum())), sizes
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.uint64, int(sizes.sum())), sizes
+
+
+def buckets(words: np.ndarray) -> np.ndarray:
+    return (words & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def neighbours(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of the words on both sides of each word; beyond a text's ends stands 1."""
+    n, ends = len(words), np.cumsum(sizes)
+    left, right = np.ones(n, np.uint64), np.ones(n, np.uint64)
+    left[1:], right[:-1] = words[:-1], words[1:]
+    some = sizes > 0
+    left[(ends - sizes)[some]] = 1
+    right[ends[some] - 1] = 1
+    return mixed(mixed(left) + right)
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of 4 or 8 bytes an element, each as planes of bytes, which compress well where values are sorted or small."""
+    return b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
+
+
+def unpacked(blob: bytes, *types) -> list[np.ndarray]:
+    types = [np.dtype(t) for t in types]
+    n, at, out = len(blob) // sum(t.itemsize for t in types), 0, []
+    for t in types:
+        planes = np.frombuffer(blob, np.uint8, n * t.itemsize, at).reshape(t.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(t))
+        at += n * t.itemsize
+    return out
+
+
+def rows_of(part: list, blob: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blob, pa.binary())], ["part", "blob"])
+
+
+def by_part(part: np.ndarray, *arrays: np.ndarray):
+    """(part, arrays of that part) in order of parts."""
+    if not len(part):
+        return
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))).tolist()
+    arrays = [a[order] for a in arrays]
+    for x, y in zip(cuts, [*cuts[1:], len(part)], strict=True):
+        yield int(part[x]), [a[x:y] for a in arrays]
 
 
 def parts(texts: list, words: int = 2_000_000):
@@ -165,12 +225,6 @@ def train(cells: np.ndarray, counts: np.ndarray) -> Network:
     return net
 
 
-def summed(rows: DataFrame, run) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of (k, n) rows by k, which takes a bounded number of values."""
-    got = rows.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    return got.column("k").to_numpy(), got.column("n").to_numpy()
-
-
 def nonzero(total: np.ndarray):
     k = np.flatnonzero(total)
     for at in range(0, len(k), 100_000):
@@ -178,57 +232,208 @@ def nonzero(total: np.ndarray):
         yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["k", "n"])
 
 
+def grouped(batches, finish):
+    """finish(part, blobs) for rows (part, blob) sorted by part; blobs is an iterator that must be used up."""
+    rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    held = next(rows, None)
+
+    def blobs(part):
+        nonlocal held
+        while held is not None and held[0] == part:
+            yield held[1]
+            held = next(rows, None)
+
+    while held is not None:
+        yield from finish(held[0], blobs(held[0]))
+    release()
+
+
+def seen(blobs) -> tuple[np.ndarray, ...]:
+    """(key, c, n) of words between neighbours of which there are at least two in the corpus, from a part's counts."""
+    held, waiting = [np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)], []
+
+    def merge():
+        # A key is told apart by its neighbours first: equal neighbours are found through them.
+        context, word, n = (np.concatenate([held[i], *[w[i] for w in waiting]]) for i in range(3))
+        order = np.lexsort((word, context))
+        context, word, n = context[order], word[order], n[order]
+        first = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))[: len(context)])
+        held[:] = [context[first], word[first], np.add.reduceat(n, first) if len(first) else n[:0]]
+        waiting.clear()
+
+    size = 0
+    for blob in blobs:
+        context, word, n = unpacked(blob, "u8", "u4", "u4")
+        waiting.append((context, word, n.astype(np.int64)))
+        size += len(context)
+        if size > 4 * PART_WORDS:
+            merge()
+            size = 0
+    merge()
+    context, word, c = held
+    if not len(context):
+        return np.empty(0, np.uint64), c, c
+    first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+    n = np.repeat(np.add.reduceat(c, first), np.diff(np.append(first, len(context))))
+    some = n > 1
+    key, c, n = key_of(context[some], word[some]), c[some], n[some]
+    order = np.argsort(key)
+    return key[order], c[order], n[order]
+
+
+def key_of(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(context + mixed(word.astype(np.uint64)))
+
+
 def log_likelihood(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of whole texts under the corpus' own model.
 
     log_likelihood sums log p(word | both sides) over all words; null and empty texts have no words, sum 0
-    and mean null.  Every row gives a row, repeated and null ids too; other columns are ignored.
+    and mean null.  Every row gives a row, repeated and null ids too; other columns are ignored.  Texts of any
+    length are taken whole; an empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    context, scratch = spark.sparkContext, Scratch(spark, "lm")
 
     def count(batches):
-        total, buckets = np.zeros(BUCKETS, np.int64), Buckets()
+        total, words = np.zeros(BUCKETS, np.int64), Words()
         for b in batches:
             for texts in parts(b.column(0).to_pylist()):
-                total += np.bincount(buckets(texts)[0], minlength=BUCKETS)
+                total += np.bincount(buckets(words(texts)[0]), minlength=BUCKETS)
         yield from nonzero(total)
 
-    k, n = summed(rows.select("text"), count)
+    got = rows.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows
     counts = np.zeros(BUCKETS, np.int64)
-    counts[k] = n
+    counts[got.column("k").to_numpy()] = got.column("n").to_numpy()
     vocabulary = Vocabulary.of(counts)
-    shared = context.broadcast((vocabulary.class_of, vocabulary.within))  # BUCKETS rows
-
-    def cells(batches):
-        class_of, buckets = shared.value[0], Buckets()
-        total = np.zeros(CELLS, np.int64)
+    #: Parts of the context tables: their number grows with the corpus.
+    parted = 1 << max(5, int(counts.sum() // PART_WORDS).bit_length())
+    shift = np.uint64(64 - parted.bit_length() + 1)
+    shared = context.broadcast(vocabulary.class_of)  # BUCKETS numbers
+
+    def gather(batches):
+        """Counts of (neighbours, word) in parts from 0, and of class cells in CELL_PARTS parts beyond."""
+        words, total = Words(), np.zeros(CELLS, np.int64)
         for b in batches:
             for texts in parts(b.column(0).to_pylist()):
-                flat, sizes = buckets(texts)
-                total += np.bincount(cell_ids(class_of[flat].astype(np.int64), sizes), minlength=CELLS)
-        yield from nonzero(total)
-
-    net = train(*summed(rows.select("text"), cells))
-    model = context.broadcast((vocabulary.class_of, vocabulary.within, net.w))
-
-    def score(batches):
-        class_of, within, weights = model.value
-        table, buckets = Network(weights).table(), Buckets()
+                flat, sizes = words(texts)
+                total += np.bincount(cell_ids(shared.value[buckets(flat)].astype(np.int64), sizes), minlength=CELLS)
+                around, word = neighbours(flat, sizes), (flat >> np.uint64(32)).astype(np.uint32)
+                order = np.lexsort((word, around))
+                around, word = around[order], word[order]
+                first = np.flatnonzero(np.concatenate(([True], (around[1:] != around[:-1]) | (word[1:] != word[:-1])))[: len(around)])
+                n = np.diff(np.append(first, len(around))).astype(np.uint32)
+                made = list(by_part(around[first] >> shift, around[first], word[first], n))
+                yield rows_of([k for k, _ in made], [packed(*x) for _, x in made])
+        k = np.flatnonzero(total)
+        made = list(by_part(k % CELL_PARTS, k, total[k]))
+        yield rows_of([parted + p for p, _ in made], [packed(*x) for _, x in made])
+        release()
+
+    def collect(batches):
+        """Parts of the context tables (key, c, n), with their load, and summed cells."""
+
+        def finish(part, blobs):
+            if part >= parted:
+                total = np.zeros(CELLS, np.int64)
+                for blob in blobs:
+                    k, n = unpacked(blob, "i8", "i8")
+                    total[k] += n
+                k = np.flatnonzero(total)
+                yield rows_of([part], [packed(k, total[k])]).append_column("load", pa.array([0], pa.int64()))
+            else:
+                load = 0
+
+                def counted():
+                    nonlocal load
+                    for blob in blobs:
+                        load += int(unpacked(blob, "u8", "u4", "u4")[2].sum())
+                        yield blob
+
+                blob = packed(*seen(counted()))
+                yield rows_of([part], [blob]).append_column("load", pa.array([load], pa.int64()))
+
+        yield from grouped(batches, finish)
+
+    tables = rows.select("text").mapInArrow(gather, "part long, blob binary").repartition("part").sortWithinPartitions("part")
+    tables = scratch.write(tables.mapInArrow(collect, "part long, blob binary, load long"), "contexts")
+    cells, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for r in tables.where(F.col("part") >= parted).select("blob").toLocalIterator():  # CELLS cells at most
+        k, n = unpacked(bytes(r[0]), "i8", "i8")
+        cells.append(k)
+        sizes.append(n)
+    net = train(np.concatenate(cells), np.concatenate(sizes))
+    #: Parts with many words of few neighbours are scored in several tasks; they number at most ``parted`` / 2.
+    heavy = {r[0]: -(-r[1] // (2 * PART_WORDS)) for r in tables.where((F.col("part") < parted) & (F.col("load") > 2 * PART_WORDS)).select("part", "load").collect()}
+    model = context.broadcast((vocabulary.class_of, vocabulary.within, net.w, heavy))
+
+    def predict(batches):
+        """The network's log p of every word, in parts like those of the tables, and every row's own sums beyond."""
+        class_of, within, weights, salts = model.value
+        lookup, words = Network(weights).table(), Words()
+        task, at, turn = TaskContext.get().partitionId(), 0, 0
         for b in batches:
-            sums, tokens = [], []
+            ids = b.column(0)
+            done = 0
             for texts in parts(b.column(1).to_pylist(), 500_000):
-                flat, sizes = buckets(texts)
-                p = table[cell_ids(class_of[flat].astype(np.int64), sizes)].astype(np.float64) + within[flat]
-                p = np.concatenate(([0.0], np.cumsum(p)))
+                flat, sizes = words(texts)
+                where = buckets(flat)
+                p = lookup[cell_ids(class_of[where].astype(np.int64), sizes)] + within[where]
+                around = neighbours(flat, sizes)
+                row = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+                key = key_of(around, (flat >> np.uint64(32)).astype(np.uint32))
+                names, blobs, turn = [], [], turn + 1
+                start = np.array([task << 33 | at], np.int64).tobytes()
+                for k, (x, y, z) in by_part(around >> shift, key, row, p.astype(np.float32)):
+                    names.append(k | (turn % salts[k] if k in salts else 0) << 40)
+                    blobs.append(start + packed(x, y, z))
+                total = np.concatenate(([0.0], np.cumsum(p, dtype=np.float64)))
                 end = np.cumsum(sizes)
-                sums.append(p[end] - p[end - sizes])
-                tokens.append(sizes)
-            n, s = np.concatenate(tokens), np.concatenate(sums)
-            mean = pa.array(s / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(s), mean], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    return rows.mapInArrow(score, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+                some = ids.slice(done, len(sizes))
+                table = pa.RecordBatch.from_arrays([pa.array(np.arange(len(sizes)) + (task << 33 | at)), some, pa.array(sizes), pa.array(total[end] - total[end - sizes])], ["row", "doc_id", "n", "s"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema) as w:
+                    w.write_batch(table)
+                names.append(parted + (task + turn) % parted)
+                blobs.append(sink.getvalue().to_pybytes())
+                at, done = at + len(sizes), done + len(sizes)
+                yield rows_of(names, blobs).append_column("first", pa.array([False] * len(names)))
+        release()
+
+    def update(batches):
+        """(row, doc_id, n, s): a row's own sums, and what the contexts of a part add to those of each row."""
+        columns = ["row", "doc_id", "n", "s"]
+
+        def finish(part, blobs):
+            if part & (1 << 40) - 1 >= parted:
+                for blob in blobs:
+                    yield from pa.ipc.open_stream(blob)
+                return
+            key, c, n = unpacked(next(blobs), "u8", "i8", "i8")
+            for blob in blobs:
+                start, (x, row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(blob[8:], "u8", "u4", "f4")
+                at = np.minimum(np.searchsorted(key, x), max(0, len(key) - 1))
+                hit = np.flatnonzero(key[at] == x) if len(key) else np.empty(0, np.int64)
+                at, row, p = at[hit], row[hit].astype(np.int64), p[hit].astype(np.float64)
+                more = np.log((c[at] - 1 + PRIOR * np.exp(p)) / (n[at] - 1 + PRIOR)) - p
+                if len(row):
+                    total, some = np.bincount(row, more), np.flatnonzero(np.bincount(row))
+                    nulls = pa.nulls(len(some), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(some + start), nulls, nulls, pa.array(total[some])], columns)
+
+        yield from grouped((b.select(["part", "blob"]) for b in batches), finish)
+
+    words = rows.mapInArrow(predict, "part long, blob binary, first boolean")
+    salts = F.create_map(*[F.lit(x).cast("long") for kv in heavy.items() for x in kv]) if heavy else F.lit(None).cast("map<bigint,bigint>")
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.try_element_at(salts, F.col("part")), F.lit(1)) - 1))
+    known = tables.where(F.col("part") < parted).select("part", "blob", salt.alias("salt"))
+    known = known.select((F.col("part") + F.col("salt") * F.lit(1 << 40)).alias("part"), "blob", F.lit(True).alias("first"))
+    # Every part has a table, if an empty one, since every word has been gathered.
+    dealt = words.unionByName(known).repartition("part").sortWithinPartitions("part", F.col("first").desc())
+    found = dealt.mapInArrow(update, "row long, doc_id long, n long, s double")
+    out = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_tokens"), F.sum("s").alias("log_likelihood"))
+    return out.select("doc_id", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
