@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, connected_components, release, table
 
-#: Fingerprints read on the driver to choose the vantage points of the upper levels.
+#: Fingerprints of a shard read on the driver to choose the vantage points of the levels below it.
 SAMPLE = 4096
+#: Fingerprints in a shard, at least; of n of them, shards have about 8 * sqrt(n).
+SHARD = 2048
 #: Fingerprints in a leaf, compared with one another.
 LEAF = 512
 #: Bands of the similarity stage, shingles sampled for each, words in a shingle, least similarity.
@@ -155,23 +157,57 @@ def links(f: np.ndarray, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+def deal(rows: DataFrame, trees: dict, radius: int) -> DataFrame:
+    """(shard, fp, rep) of rows (shard, fp, rep) below the upper levels ``trees``: {shard: (tree, first name below it)}.
+
+    A fingerprint goes to its own shard and to those whose boundary it overlaps.
+    """
+
+    def run(batches):
+        for b in batches:
+            shard, fp = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
+            for name in np.unique(shard).tolist():
+                tree, first = trees[name]
+                here = np.flatnonzero(shard == name)
+                at, below = route(tree, fp[here], radius)
+                got = b.take(pa.array(here[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(first + below), got.column(1), got.column(2)], ["shard", "fp", "rep"])
+
+    return rows.mapInArrow(run, "shard long, fp long, rep long")
+
+
 def link_fingerprints(reps: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) between ``rep`` ids whose distinct fingerprints ``fp`` differ in ``radius`` or fewer bits.
 
-    Returns links that span every component; pairs inside a component need not all be listed.
+    Returns links that span every component; pairs inside a component need not all be listed.  Shards that
+    come out too large get upper levels of their own, from a bounded sample of theirs, until none is or no
+    vantage point parts them any more: those are balls of fingerprints that lie within a few bits.
     """
-    n = reps.count()
-    size = max(4096, 16 * math.isqrt(n))
-    depth = max(0, math.ceil(math.log2(max(1, n) / size)))
-    bound = min(SAMPLE, n // 8 + 1)
-    sample = [r[0] for r in reps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(bound).collect()] if depth else []
-    tree = grow(np.array(sample, np.int64).view(np.uint64), depth, radius, np.random.default_rng(7))
-
-    def deal(batches):
-        for b in batches:
-            rows, shards = route(tree, np.asarray(b.column(0)).view(np.uint64), radius)
-            got = b.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(shards), got.column(0), got.column(1)], ["shard", "fp", "rep"])
+    scratch, n = Scratch(reps.sparkSession, "shards"), reps.count()
+    size, rng = max(SHARD, SHARD * math.isqrt(n) // 256), np.random.default_rng(7)
+    done, next_name, large = [], 1, {0: n} if n > size else {}
+    rows = reps.select(F.lit(0).cast("long").alias("shard"), "fp", "rep")
+    if not large:
+        done, rows = [rows], None
+    while rows is not None:
+        # At most SAMPLE fingerprints of each large shard, by hash; shards number n / size at most.
+        share = F.element_at(F.create_map(*[F.lit(x) for k, c in large.items() for x in (float(k), SAMPLE / c)]), F.col("shard").cast("double"))
+        hashed = F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) / (1 << 20)
+        sample: dict[int, list] = {}
+        for r in rows.select("shard", "fp").where(hashed < share).orderBy("shard", F.xxhash64("fp"), "fp").toLocalIterator():
+            sample.setdefault(r[0], []).append(r[1])
+        trees = {}
+        for name, c in large.items():
+            depth = math.ceil(math.log2(c / size))
+            trees[name] = (grow(np.array(sample.get(name, []), np.int64).view(np.uint64), depth, radius, rng), next_name)
+            next_name += 2 << depth
+        dealt = scratch.write(deal(rows, trees, radius), "dealt")
+        counts = {r[0]: r[1] for r in dealt.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > 2 * size).collect()}
+        firsts = sorted((first, large[name]) for name, (_, first) in trees.items())
+        parent = lambda name: max(x for x in firsts if x[0] <= name)[1]
+        large = {name: c for name, c in counts.items() if c < 0.9 * parent(name)}
+        done.append(dealt.where(~F.col("shard").isin(list(large))) if large else dealt)
+        rows = dealt.where(F.col("shard").isin(list(large))) if large else None
 
     def join(batch: pa.Table) -> pa.Table:
         f, rep = (batch.column(x).to_numpy() for x in ("fp", "rep"))
@@ -181,7 +217,9 @@ def link_fingerprints(reps: DataFrame, radius: int) -> DataFrame:
         pairs = np.unique(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])], axis=1), axis=0)
         return pa.table({"a": pairs[:, 0].astype(np.int64), "b": pairs[:, 1].astype(np.int64)})
 
-    dealt = reps.select("fp", "rep").mapInArrow(deal, "shard long, fp long, rep long")
+    dealt = done[0]
+    for more in done[1:]:
+        dealt = dealt.unionByName(more)
     return dealt.groupBy("shard").applyInArrow(join, "a long, b long")
 
 
@@ -197,7 +235,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, radius: int = 3) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "simhash")
     fps = scratch.write(fingerprints(docs, k), "fps")
     reps = scratch.write(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "reps")
-    #: A class of null ids takes part under a name of its own below all ids.
+    #: A class of null ids takes part under a name of its own.
     named = reps.select("fp", "least", F.coalesce("least", F.xxhash64("fp")).alias("rep"))
     edges = scratch.write(link_fingerprints(named, radius), "edges")
     comps = scratch.write(connected_components(edges, "a", "b"), "comps")
@@ -340,7 +378,7 @@ def found_pairs(t: pa.Table, a: list, b: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([band] * len(a), pa.int32()), pa.array([fp] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["band", "fp", "a", "b"])
 
 
-def candidates_within(rows: DataFrame, last: bool) -> DataFrame:
+def candidates_within(rows: DataFrame) -> DataFrame:
     """(band, fp, a, b) of rows (band, fp, chunk, rep, size, sketch): pairs to verify, and leaders, with b null.
 
     Chunks are sorted side by side in partitions and streamed; a task holds one chunk at a time.
@@ -350,10 +388,7 @@ def candidates_within(rows: DataFrame, last: bool) -> DataFrame:
         rep, size = (t.column(c).to_numpy() for c in ("rep", "size"))
         rep, first = np.unique(rep, return_index=True)
         pairs, leaders = group_candidates(rep, size[first], sketches(t)[first])
-        a, b = [p[0] for p in pairs], [p[1] for p in pairs]
-        if not last:
-            a, b = a + rep[leaders].tolist(), b + [None] * len(leaders)
-        return found_pairs(t, a, b)
+        return found_pairs(t, [p[0] for p in pairs] + rep[leaders].tolist(), [p[1] for p in pairs] + [None] * len(leaders))
 
     keys = ("band", "fp", "chunk")
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "rep", "size", "sketch")
@@ -413,40 +448,28 @@ def candidates_left(reps: DataFrame, members: DataFrame, comps: DataFrame, most:
     return dealt.mapInArrow(lambda batches: by_group(batches, keys, finish), "band int, fp long, a long, b long")
 
 
-def band_candidates(reps: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(a, b) to verify first among classes that share a band's fingerprint, and all members (band, fp, rep).
+def band_candidates(reps: DataFrame, near: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(a, b) to verify first among classes of a group, and all members (band, fp, rep) of groups.
 
-    Groups beyond CHUNK go through in chunks, whose leaders form the group of the next level; where chunks
-    have few members that are alike, leaders meet in pairs of chunks instead.  These pairs join most of a
-    group with few links; ``candidates_left`` finds what they leave out.
+    Groups are classes that share a band's fingerprint, and those of ``near`` (rows of the same columns).
+    Groups beyond CHUNK go through in chunks, whose leaders form the group of the next level, while levels
+    shrink.  These pairs join most of a group with few links; ``candidates_left`` finds what they leave out.
     """
-    members = reps.select("rep", F.posexplode("bands").alias("band", "fp"))
+    members = reps.select("rep", F.posexplode("bands").alias("band", "fp")).unionByName(near)
     counts = members.groupBy("band", "fp").agg(F.count("*").alias("n"))
     counts = scratch.write(counts.where("n > 1"), "groups")
     members = scratch.write(members.join(counts, ["band", "fp"]), "members")
-    found, before, every = None, None, members.select("band", "fp", "rep")
-    while True:
-        total = members.count()
-        if not total:
-            break
+    found, before, every = reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0), None, members.select("band", "fp", "rep")
+    while (total := members.count()) and (before is None or total <= 0.9 * before):
         chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-        rows = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-        last = before is not None and total > 0.9 * before
-        if last:
-            other = F.sequence(F.lit(0), F.col("chunks") - 1)
-            pair = F.transform(other, lambda j: F.least("chunk", j) * 1_000_000 + F.greatest("chunk", j))
-            rows = rows.withColumn("chunk", F.explode(pair))
-        rows = rows.join(reps.select("rep", "size", "sketch"), "rep")
-        out = scratch.write(candidates_within(rows.select("band", "fp", "chunk", "rep", "size", "sketch"), last), "within")
-        pairs = out.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = pairs if found is None else found.unionByName(pairs)
-        if last:
-            break
+        rows = members.withColumn("chunk", F.pmod(F.xxhash64("rep"), chunks).cast("int")).join(reps.select("rep", "size", "sketch"), "rep")
+        out = scratch.write(candidates_within(rows.select("band", "fp", "chunk", "rep", "size", "sketch")), "within")
+        found = found.unionByName(out.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         before = total
         left = out.where("b is null").join(counts.where(F.col("n") > CHUNK), ["band", "fp"]).select("band", "fp", F.col("a").alias("rep"))
         counts = scratch.write(left.groupBy("band", "fp").agg(F.count("*").alias("n")), "groups")
         members = scratch.write(left.join(counts, ["band", "fp"]), "members")
-    return found if found is not None else reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0), every
+    return found, every
 
 
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -468,20 +491,24 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratc
 def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, component_id) of documents, by verified links of SIMILARITY or more.
 
-    Exact copies form one class before any comparison.  Candidates are fingerprints of whole texts at 3 bits
-    or fewer, from the vantage-point trees, and classes that share a band's fingerprint; those whose sketches
-    may be SIMILARITY alike are verified on their shingle sets, unless verified links have joined them already.
+    Exact copies form one class before any comparison.  Candidates are the pairs of two kinds of groups: chains
+    of fingerprints of whole texts at 3 bits or fewer, from the vantage-point trees, and classes that share a
+    band's fingerprint.  All pairs of a group whose sketches may be SIMILARITY alike are verified on their shingle
+    sets, unless verified links have joined them already.
     """
     marks = scratch.write(signatures(docs), "signatures")
     reps = marks.groupBy("body").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("size", "fp", "bands", "sketch")])
     reps = scratch.write(reps, "reps")
     names = scratch.write(marks.select("doc_id", "body"), "names")
     scratch.drop(marks)
-    points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "points")
-    near = link_fingerprints(points, 3).select("a", "b")
-    equal = reps.select("fp", F.col("rep").alias("b")).join(points.select("fp", F.col("rep").alias("a")), "fp").where("a <> b").select("a", "b")
-    banded, members = band_candidates(reps, scratch)
-    tested = scratch.write(near.unionByName(equal).unionByName(banded).distinct(), "pairs")
+    # The trees' links span the classes of fingerprints but are not all near pairs: a class is a group like those of bands.
+    points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("point")), "points")
+    edges = scratch.write(link_fingerprints(points.select("fp", F.col("point").alias("rep")), 3), "edges")
+    balls = scratch.write(connected_components(edges, "a", "b"), "balls")
+    named = reps.select("rep", "fp").join(points, "fp").join(balls, F.col("point") == balls["node"], "left")
+    near = named.select("rep", F.lit(-1).alias("band"), F.coalesce("component", "point").alias("fp"))
+    banded, members = band_candidates(reps, near, scratch)
+    tested = scratch.write(banded.distinct(), "pairs")
     like = verified(tested, reps, docs, scratch)
     comps = scratch.write(connected_components(like, "a", "b"), "comps")
     most = 4
