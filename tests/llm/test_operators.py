@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -398,6 +399,60 @@ def test_near_duplicates_between_followers_of_chunks(spark, monkeypatch):
     assert {r.doc_id for r in simhash.drop_near_duplicates(df).collect()} == set(plain_near_groups(rows).values())
 
 
+def quick_near_groups(rows):
+    """plain_near_groups by an index of shingles, for many rows."""
+    sets, index = {}, {}
+    for i, t in rows:
+        w = t.lower().encode().split()
+        sets[i] = {b" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+    pairs = []
+    for i, own in sets.items():
+        # Two sets at 0.8 share all but a fifth of the smaller: a prefix of over a fifth in any fixed order meets.
+        head = sorted(own, key=lambda x: zlib.crc32(x))[: len(own) - math.ceil(0.8 * len(own)) + 1]
+        seen = set().union(*(index.get(x, ()) for x in head))
+        pairs += [(j, i) for j in seen if len(sets[j] & own) >= 0.8 * len(sets[j] | own)]
+        for x in head:
+            index.setdefault(x, []).append(i)
+    return plain_components(sets, pairs), pairs
+
+
+def test_near_duplicates_of_five_thousand_texts(spark, monkeypatch):
+    rng = random.Random(31)
+    rows, bases = [], [words(rng, n, 10**6) for n in (60, 90, 150, 300)]
+    for i in range(5000):
+        if i % 10 < 6:
+            w = list(bases[i % 4])  # hot groups, spread around the limit
+            for _ in range(rng.choice([0, 1, 1, 2, 2, 3, 5, 8])):
+                w[rng.randrange(len(w))] = f"c{rng.randrange(10**6)}"
+        else:
+            w = words(rng, rng.randint(0, 60), 10**5)
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(simhash, "CHUNK", 256)
+    monkeypatch.setattr(simhash, "SHARD", 256)
+    groups, pairs = quick_near_groups(rows)
+    assert len(pairs) > 10_000
+    df = spark.createDataFrame([(*r, "a", 0) for r in rows], SCHEMA).repartition(8)
+    scratch = common.Scratch(spark, "t")
+    got = {r.doc_id: r.component_id for r in simhash.similar_classes(df, scratch).collect()}
+    joined = np.mean([got[a] == got[b] for a, b in pairs])
+    assert joined >= 0.99 and all(groups[i] == groups[c] for i, c in got.items())
+    assert got == groups
+
+
+def test_large_shards_are_parted_again(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SHARD", 64)
+    rng = np.random.default_rng(17)
+    f = rng.integers(0, 2**63, 3000, np.uint64)
+    ball = np.array([int(f[0]) ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 63, (600, 2))], np.uint64)
+    near = f[:800] ^ (np.uint64(1) << rng.integers(0, 63, 800, np.uint64))
+    f = np.unique(np.concatenate([f, ball, near])).view(np.int64)
+    rows = spark.createDataFrame([(int(x), i) for i, x in enumerate(f)], "fp long, rep long")
+    got = [(r.a, r.b) for r in simhash.link_fingerprints(rows, 3).collect()]
+    u = f.view(np.uint64)
+    pairs = [(i, i + 1 + j) for i in range(len(u)) for j in np.flatnonzero(np.bitwise_count(u[i + 1 :] ^ u[i]) <= 3).tolist()]
+    assert plain_components(range(len(u)), got) == plain_components(range(len(u)), pairs)
+
+
 # 6
 
 
