@@ -1,7 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items become sequences of words (ASCII letters lower-cased, ASCII punctuation
-dropped, digits kept).  Seeds of SEED shared words join documents with the items they may hold; where the seeds
+Documents and benchmark items become sequences of words (lower-cased, ASCII punctuation dropped, digits kept).  Seeds of SEED shared words join documents with the items they may hold; where the seeds
 could cover enough of an item, greedy string tiling marks the longest common run, then the next longest that
 does not overlap it, and so on, by Karp-Rabin hashes of falling length.  Tiles may lie in any order, so
 reordered passages count.  An item whose words are covered to COVERAGE or more has leaked into the document.
@@ -30,7 +29,10 @@ WORDS = bytes(c if 48 <= c <= 57 else LETTERS[c] for c in range(256))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(WORDS).split()
+    text = text or b""
+    if not text.isascii():
+        text = text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+    return text.translate(WORDS).split()
 
 
 class Codes(dict):
