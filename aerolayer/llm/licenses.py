@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-DataFrame operations alone.  Statements are the lines of a file that speak of licensing and the runs of comment
-lines they are in, wherever they stand; a licence file is one statement more as a whole.  Equal statements are compared
+DataFrame operations alone.  Statements are the lines of a file that share a term with a template and the runs of
+comment lines they are in, wherever they stand; a licence file is one statement more as a whole.  Equal statements are compared
 once, however many files hold them.  Document frequencies count all distinct statements of all files and the
 templates.  A file without a licence of its own takes that of the licence file in its nearest ancestor
 directory, found by joins on paths, directory by directory.
@@ -9,6 +9,8 @@ directory, found by joins on paths, directory by directory.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,6 @@ from .common import Scratch, table
 
 #: Least cosine of a statement to a template.
 SIMILARITY = 0.5
-#: Lines that speak of licensing.
-SPEAKS = r"(?i)licen[cs]e|copyright|spdx|public domain|creative commons|\bcc[- ]by|redistribut|permission is hereby"
 #: Runs of comment lines.
 COMMENTS = r"(?m)(?:^[ \t]*+(?:#|//|/?\*|;|--)[^\n]*+\n?)++"
 LICENCE_FILE = r"(?i)^(?:licen[cs]e|copying|unlicense|notice)(?:[._-][^/]*)?$"
@@ -47,8 +47,16 @@ TEMPLATES = [
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Licensed under the ISC License."),
+    ("MIT", "Distributed under the MIT license."),
+    ("Apache-2.0", "Distributed under the Apache 2.0 license."),
+    ("GPL-3.0", "Distributed under the GNU GPL v3."),
+    ("GPL-2.0", "Distributed under the GNU GPL v2."),
     *[(x, f"SPDX-License-Identifier: {x}") for x in ("MIT", "Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense", "ISC")],
 ]
+#: Words that lines of any text share with templates; a line that has no other term of a template has no cosine worth finding.
+COMMON = frozenset("a an and any are as at be by can charge conditions copy deal either endorse except file files following for form free from have hereby if in into is it its later may met modification modify name names neither nor not obtain obtaining of or person program provided published restriction sa source subject terms that the this to under use used version with without work you".split())
+#: Lines with a term of a template, by a rule: all of their words of two letters or more but the common ones.
+SPEAKS = r"(?i)(?:^|[^a-z0-9])(?:" + "|".join(sorted({w for _, t in TEMPLATES for w in re.findall("[a-z0-9]{2,}", t.lower())} - COMMON)) + r")(?:[^a-z0-9]|$)"
 
 
 def terms(text: Column) -> Column:
