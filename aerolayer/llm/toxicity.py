@@ -346,6 +346,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.binary())), pa.array(out[2], pa.int32())], ["doc_id", "windows", "toxic"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(picked, "doc_id")
+    # A doc_id that repeats counts once, by its least text.
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
     got = rows.mapInArrow(windows, "doc_id long, windows array<binary>, toxic int").toArrow()
     got = sorted(zip(*(got.column(k).to_pylist() for k in range(3)), strict=True), key=lambda r: (r[0], r[1]))
     return train([(r[1], r[2]) for r in got])
