@@ -632,6 +632,16 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty.select(F.lit("x").alias("path"), "text")).count() == 0
 
 
+def test_licences_by_other_words_and_odd_files(spark):
+    long_text = "plain words go on and on\n" * 40_000 + "Released under the MIT License.\n"
+    files = [("a.py", "# Distributed under the GNU GPL v3", 1), ("b.py", "Apache 2.0", 2), ("c.py", "copyright of nobody but the wind and the long road home", 3), ("d.txt", long_text, 4), ("d.txt", long_text, 4), ("e.txt", None, None), (None, None, None)]
+    df = spark.createDataFrame(files, "path string, text string, extra int").withColumns({"license": F.lit("x"), "sid": F.lit(1), "dir": F.lit("y"), "similarity": F.lit("z")})
+    got = licenses.scan(df).collect()
+    assert len(got) == 7 and [r.license for r in got if r.path == "d.txt"] == ["MIT", "MIT"]
+    own = {r.path: r.license for r in got}
+    assert own["a.py"] == "GPL-3.0" and own["b.py"] == "Apache-2.0" and own["c.py"] is None and own["e.txt"] is None
+
+
 def test_cosines_against_plain(spark, tmp_path):
     texts = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3", "licensed to nobody for anything at all"]
     found = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "path string, statement string")
