@@ -1,6 +1,6 @@
 """All driver queries of the engine proper, and their SQL."""
 
-from . import raster_queries, record_queries
+from . import listing_queries, raster_queries, record_queries
 
-QUERIES = record_queries.QUERIES | raster_queries.QUERIES
-SQL = record_queries.SQL | raster_queries.SQL
+QUERIES = record_queries.QUERIES | raster_queries.QUERIES | listing_queries.QUERIES
+SQL = record_queries.SQL | raster_queries.SQL | listing_queries.SQL

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
-from ..functions import grid, rings, tone
+from ..functions import grid, projection, rings, tone
 from ..functions.projection import from_lambert, to_lambert
 from ..operators import scenes, spatial
 from ..raster import kernels, longform
@@ -175,7 +175,22 @@ def densify(spark, d):
     return p.select("id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y")).groupBy("id", "x", "y").agg(F.count("*").alias("n"))
 
 
-@query()
+def inverse_sql() -> str:
+    """Degrees of projected points p(id, x, y), by as many fixed-point steps as it takes."""
+    step = lambda f: f"pi() / 2 - 2 * atan(t * pow((1 - e * sin({f})) / (1 + e * sin({f})), e / 2))"
+    out = f"""u AS (SELECT id, {projection.E!r}::DOUBLE AS e, atan2(x, {projection.RHO0!r}::DOUBLE - y) AS th, pow(sqrt(x * x + pow({projection.RHO0!r}::DOUBLE - y, 2)) / {projection.SCALE!r}::DOUBLE, 1 / {projection.N!r}::DOUBLE) AS t FROM p),
+f0 AS (SELECT *, pi() / 2 - 2 * atan(t) AS f FROM u)"""
+    for i in range(6):
+        out += f", f{i + 1} AS (SELECT * REPLACE ({step('f')} AS f) FROM f{i})"
+    return out + f", ll AS (SELECT id, degrees(th) / {projection.N!r}::DOUBLE - 96.0 AS lon, degrees(f) AS lat FROM f6) "
+
+
+@query(
+    BOXES + """, st AS (SELECT unnest(range(22)) AS i), p AS (SELECT id, x0 + (x1 - x0) * i / 21.0::DOUBLE AS x, y0 AS y FROM bx, st UNION ALL SELECT id, x0 + (x1 - x0) * i / 21.0::DOUBLE, y1 FROM bx, st
+  UNION ALL SELECT id, x0, y0 + (y1 - y0) * i / 21.0::DOUBLE FROM bx, st UNION ALL SELECT id, x1, y0 + (y1 - y0) * i / 21.0::DOUBLE FROM bx, st), """
+    + inverse_sql()
+    + "SELECT id, round(min(lon), 6) AS min_x, round(min(lat), 6) AS min_y, round(max(lon), 6) AS max_x, round(max(lat), 6) AS max_y FROM ll GROUP BY id"
+)
 def bounds_to_wgs84(spark, d):
     """Boxes in degrees, from 22 points on each side."""
     p = carriers.boxes(spark, d).select("id", rings.densify(col("b"), 22).alias("ps"))

@@ -19,7 +19,7 @@ SIDES = {"min_lon": ("x\\.min", "West"), "max_lon": ("x\\.max", "East"), "min_la
 
 def hrefs(html: Column) -> Column:
     """All link targets in order, quoted or not."""
-    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), F.btrim)
+    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), lambda h: F.btrim(h))
 
 
 def found(html: Column, pattern: str) -> Column:
