@@ -325,19 +325,19 @@ SELECT vec_id, id, area, CASE WHEN area < 2 THEN 'below_min_area' WHEN area > mo
 )
 def extension_select(spark, d):
     """Components besides the largest, with the reason each is no extension of it (without a gap none touches)."""
-    import pandas as pd
+    import numpy as np
+    import pyarrow as pa
 
     options = kernels.MaskOptions(**EXT, overhang={"north": 1, "south": 1, "west": 2, "east": 2})
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
+    def run(t: pa.Table) -> pa.Table:
         a = np.zeros((8, 8), bool)
-        a[df["row"], df["col"]] = df["on"]
+        a[t.column("row").to_numpy(), t.column("col").to_numpy()] = t.column("on").to_numpy()
         report = kernels.extensions(a, kernels.largest(a), options)[1] if a.any() else []
-        return pd.DataFrame([(df["vec_id"].iloc[0], r["id"], r["area"], r["reason"]) for r in report], columns=["vec_id", "id", "area", "reason"])
+        key = pa.array([t.column("vec_id")[0].as_py()] * len(report), pa.int64())
+        return pa.table([key, *(pa.array([r[k] for r in report], y) for k, y in (("id", pa.int64()), ("area", pa.int64()), ("reason", pa.string())))], ["vec_id", "id", "area", "reason"])
 
-    return carriers.masks(spark, d).groupBy("vec_id").applyInPandas(run, "vec_id long, id long, area long, reason string")
+    return carriers.masks(spark, d).groupBy("vec_id").applyInArrow(run, "vec_id long, id long, area long, reason string")
 
 
 @query(

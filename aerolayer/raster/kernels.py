@@ -10,24 +10,28 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 
 def per_raster(pixels: DataFrame, keys: list[str], value: str, kernel: Callable[[np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
     """(keys, row, col and the kernel's arrays): kernel maps the 2-D values to arrays of that shape."""
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(df[[*keys, "row", "col"]])
-        grid = np.zeros((df["row"].max() + 1, df["col"].max() + 1), df[value].dtype)
-        grid[df["row"], df["col"]] = df[value]
-        for name, a in kernel(grid).items():
-            out[name] = a[df["row"], df["col"]]
-        return out
-
     types = {f.name: f.dataType.simpleString() for f in pixels.schema.fields}
     head = ", ".join(f"{k} {types[k]}" for k in (*keys, "row", "col"))
-    return pixels.select(*keys, "row", "col", value).groupBy(*keys).applyInPandas(run, f"{head}, {schema}")
+    names = [part.split()[0] for part in schema.split(",")]
+
+    def run(t: pa.Table) -> pa.Table:
+        row, col, v = (t.column(c).to_numpy() for c in ("row", "col", value))
+        grid = np.zeros((row.max() + 1, col.max() + 1), v.dtype)
+        grid[row, col] = v
+        made = kernel(grid)
+        return pa.table({**{k: t.column(k) for k in (*keys, "row", "col")}, **{n: np.asarray(made[n])[row, col] for n in names}}).cast(wanted)
+
+    wanted = to_arrow_schema(_parse_datatype_string(f"{head}, {schema}"))
+    return pixels.select(*keys, "row", "col", value).groupBy(*keys).applyInArrow(run, f"{head}, {schema}")
 
 
 def shifted(a: np.ndarray, dy: int, dx: int, outside) -> np.ndarray:
