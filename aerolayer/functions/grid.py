@@ -155,3 +155,10 @@ def affine_bounds(g: Column, width: Column, height: Column) -> Column:
     corners = [(zero, zero), (width, zero), (zero, height), (width, height)]
     xs, ys = [at(0, *c) for c in corners], [at(3, *c) for c in corners]
     return box(F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys))
+
+
+def downsampled_affine(g: Column, width: Column, height: Column, most: Column) -> Column:
+    """The coefficients of a raster whose longer side has become ``most`` pixels at most (see longform.downsample)."""
+    factor = F.greatest(F.lit(1.0), F.greatest(width, height) / most.cast("double"))
+    sx, sy = (n / F.greatest(F.lit(1), F.floor(n / factor)) for n in (width, height))
+    return F.array(g[0], g[1] * sx, g[2] * sy, g[3], g[4] * sx, g[5] * sy)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 import os
 import urllib.request
@@ -164,6 +165,16 @@ def quarter_report(runs: DataFrame) -> list[dict]:
     return list(geojson.rows_of(rows))
 
 
+def write_quarter_report(runs: DataFrame, path: str) -> None:
+    """quarter_report as a JSON file."""
+    geojson.write_json({"quarters": quarter_report(runs)}, path)
+
+
+def write_scene_list(scene_rows: DataFrame, path: str) -> None:
+    """Saved scenes (value: scene JSON) as one JSON list that the scene source reads again."""
+    geojson.write_json([json.loads(r["value"]) for r in geojson.rows_of(scene_rows.select("value"))], path)
+
+
 def chart_masks(pixels: DataFrame, keys: list[str], options: kernels.MaskOptions | None = None) -> DataFrame:
     """(keys, row, col, on): the area of each chart of palette indexes ``v``."""
     return kernels.per_raster(pixels, keys, "v", lambda a: {"on": kernels.chart_mask(a.astype("uint8"), options)[0]}, "on boolean")

@@ -298,6 +298,25 @@ def background_mask(spark, d):
     return px.join(found, "vec_id").where(col("v") == col("background")).select("vec_id", "row", "col")
 
 
+@query(
+    """SELECT n_name AS name, CAST(n_nationkey % 7 + 4 AS INT) AS width, CAST(n_nationkey % 5 + 3 AS INT) AS height, n_nationkey * 100.0::DOUBLE AS min_x, 7000 - n_nationkey * 50.0::DOUBLE - 10 * (n_nationkey % 5 + 3) AS min_y,
+  n_nationkey * 100.0::DOUBLE + 10 * (n_nationkey % 7 + 4) AS max_x, 7000 - n_nationkey * 50.0::DOUBLE AS max_y, CAST(n_nationkey * (n_nationkey % 7 + 4) * (n_nationkey % 5 + 3) AS BIGINT) AS total FROM nation"""
+)
+def raster_files(spark, d):
+    """Rasters of one value each, written as files, and their headers and pixels read again."""
+    from ..raster import tiff
+
+    k, folder = col("k"), scratch_folder(spark)
+    size = ((k % 7 + 4) * (k % 5 + 3)).cast("int")
+    made = nations(spark, d).select("name", F.lit(1).alias("bands"), (k % 5 + 3).cast("int").alias("rows"), (k % 7 + 4).cast("int").alias("cols"), F.array(k * 100.0, F.lit(10.0), F.lit(0.0), 7000 - k * 50.0, F.lit(0.0), F.lit(-10.0)).alias("affine"), F.unhex(F.repeat(F.lpad(F.hex(k), 2, "0"), size)).alias("pixels"), F.lit("ESRI:102009").alias("crs"), F.lit(None).alias("nodata"))
+    paths = tiff.write_rasters(made, folder).select(F.monotonically_increasing_id().cast("int").alias("ordinal"), "path")
+    files = tiff.read_rasters(spark, paths).persist()
+    total = F.aggregate(F.transform(F.filter(F.split(F.regexp_replace(F.hex("pixels"), "(..)", "$1 "), " "), lambda x: x != ""), lambda x: F.conv(x, 16, 10).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
+    sums = tiff.read_blocks(files, 4).groupBy("path").agg(F.sum(total).alias("total"))
+    name = F.regexp_extract("path", "([^/]*)[.]tif$", 1)
+    return files.join(sums, "path").select(name.alias("name"), "width", "height", "bounds.min_x", "bounds.min_y", "bounds.max_x", "bounds.max_y", "total")
+
+
 @query("SELECT e.event_id, year(ts) || '-Q' || quarter(ts) AS quarter, coalesce(n.n, 0) AS same FROM events e LEFT JOIN (SELECT year(ts) AS y, quarter(ts) AS q, count(*) AS n FROM events GROUP BY 1, 2) n ON n.y = year(e.ts) AND n.q = quarter(e.ts)")
 def events_of_quarter(spark, d):
     e = carriers.table(spark, d, "events").select("event_id", measures.quarter_of(col("ts")).alias("quarter"))

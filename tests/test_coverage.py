@@ -17,7 +17,8 @@ STANDS_FOR = {
     "S13": "href_extract",
     "S14 P7 V13": "chart_classify",
     "S15": "url_list",
-    "S16 G14 G15": "raster_corners",
+    "S16 K16 K18": "raster_files",
+    "G14 G15": "raster_corners",
     "S17": "virtual_paths",
     "S18": "html_bounds",
     "S19": "tag_lookup",
