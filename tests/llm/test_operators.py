@@ -106,6 +106,46 @@ def test_toxicity_learns_and_windows_cover(spark, odd, empty):
     assert whole.shape == (10,) and np.isfinite(whole).all()
 
 
+def plain_logit(w, words):
+    """The network on one window, word by word."""
+    h_, sig = toxicity.HIDDEN, lambda x: 1 / (1 + np.exp(-x))
+    if not words:
+        return float(w["bias"][0])
+    x = [w["word"][toxicity.features_of([t])[0][0]] + np.mean([w["gram"][g] for g in toxicity.grams(t)], axis=0) for t in words]
+    states = []
+    for k in (0, 1):
+        h, out = np.zeros(h_), []
+        for v in x if k == 0 else x[::-1]:
+            g = v @ w["wx"][k] + w["b"][k][0]
+            u = [w["u"][k][:, i * h_ : (i + 1) * h_] for i in range(3)]
+            z, r = sig(g[:h_] + h @ u[0]), sig(g[h_ : 2 * h_] + h @ u[1])
+            n = np.tanh(g[2 * h_ :] + r * (h @ u[2]))
+            h = n + z * (h - n)
+            out.append(h)
+        states.append(out if k == 0 else out[::-1])
+    e, o = (np.array([sum(states[k][t] @ w[name][k] for k in (0, 1)) for t in range(len(x))]) for name in ("att", "out"))
+    a = np.exp(e - e.max())
+    return float((a * o).sum() / a.sum() + w["bias"][0])
+
+
+def test_scores_are_those_of_every_window_by_itself(monkeypatch):
+    rng = random.Random(40)
+    net = toxicity.Network()
+    noise = np.random.default_rng(41)
+    w = {k: (v + noise.normal(0, 0.2, v.shape)).astype(np.float32) for k, v in net.w.items()}
+    docs = [" ".join(words(rng, n, 60)).encode() for n in (0, 1, 5, 31, 32, 33, 48, 49, 150)] + [None, b"w1 w1 w1", b"a" * 500]
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 30)  # the cache of words starts anew between batches
+    model = toxicity.Model(w, 1.3, -0.4)
+    got = np.concatenate(list(model.scores([docs[:4], docs[4:5], docs[5:9], docs[9:], docs])))
+    want = []
+    for t in docs:
+        ws = toxicity.words_of(t)
+        top = max(plain_logit(w, ws[s : s + toxicity.WINDOW]) for s in toxicity.window_starts(len(ws)))
+        want.append(1 / (1 + np.exp(-(1.3 * top - 0.4))))
+    assert np.allclose(got, want + want, atol=1e-4)
+    assert all(set(range(n)) == {j for s in toxicity.window_starts(n) for j in range(s, min(n, s + toxicity.WINDOW))} for n in range(1, 200))
+
+
 # 2
 
 
@@ -792,3 +832,19 @@ def test_pipeline(spark, tmp_path):
     assert set(kept["near_dedup"]) - set(kept["decontamination"]) == {1002} & kept["near_dedup"].keys()
     assert set(kept["mixing"]) == set(kept["decontamination"])
     assert json.dumps([n for n, _ in corpus_pipeline.STAGES])
+
+
+def test_pipeline_on_empty_and_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = "doc_id long, text string, lang string, source string, n_chars long, extra string"
+    odd = [(i, t, None, s, None, None) for i, t, s, _ in odd_rows()]
+    for name, rows in (("none", []), ("odd", odd)):
+        spark.createDataFrame(rows, docs).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    # Texts without words are copies of one another, and so are the two long ones, one of which has lost its lines.
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [1, 4, 5, 5, 7] and sum(r.doc_id is None for r in got) == 2
+    assert {r.size for r in got if r.doc_id == 7} == {60_000}
