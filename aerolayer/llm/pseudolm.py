@@ -11,7 +11,8 @@ such context, worth PRIOR words, and the counts update it:
     p(word | both sides) = (c + PRIOR * p_network(word | both sides)) / (n + PRIOR)
 
 where n words have been seen between these neighbours elsewhere, c of them this one: the masked word itself is
-not counted.  Words and neighbours are told apart by 64-bit hashes.
+not counted.  Neighbours are told apart by CONTEXT_BITS of a hash and those of their part of the tables, words
+between equal neighbours by WORD_BITS.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ INNER_IDS, OUTER_IDS = CLASSES + 1, OUTER + 1
 CELLS = OUTER_IDS * INNER_IDS * INNER_IDS * OUTER_IDS * CLASSES
 DIM, EPOCHS, BATCH, SEED = 24, 8, 4096, 5
 #: Words that the network's prediction counts for; words of the corpus in a part of the context tables, about; parts of the cells.
-PRIOR, PART_WORDS, CELL_PARTS = 4.0, 2_000_000, 64
+PRIOR, PART_WORDS, CELL_PARTS = 4.0, 1_000_000, 64
+CONTEXT_BITS, WORD_BITS = 44, 20
+#: Log-probabilities travel in steps of 1 / SCALE, down to -32.
+SCALE = 2048
 
 
 class Words(dict):
@@ -44,7 +48,7 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < 200_000:
             self[word] = code
         return code
 
@@ -64,19 +68,44 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def neighbours(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A hash of the words on both sides of each word; beyond a text's ends stands 1."""
+def entries(words: np.ndarray, sizes: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of the tables and the entry (neighbours, word) of each word; beyond a text's ends stands 1."""
     n, ends = len(words), np.cumsum(sizes)
     left, right = np.ones(n, np.uint64), np.ones(n, np.uint64)
     left[1:], right[:-1] = words[:-1], words[1:]
     some = sizes > 0
     left[(ends - sizes)[some]] = 1
     right[ends[some] - 1] = 1
-    return mixed(mixed(left) + right)
+    around = mixed(mixed(left) + right)
+    part = (around >> np.uint64(shift)).astype(np.uint16 if shift >= 48 else np.int64)
+    return part, (around & np.uint64((1 << CONTEXT_BITS) - 1)) << np.uint64(WORD_BITS) | words >> np.uint64(64 - WORD_BITS)
+
+
+def short(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """48 bits of an entry's hash, in two arrays: enough to look it up in one part."""
+    h = mixed(entry)
+    return h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint16)
+
+
+def whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+
+
+def distinct(entry: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct entries in order, and their numbers (or the sums of n)."""
+    if n is None:
+        entry = np.sort(entry)
+    else:
+        order = np.argsort(entry)
+        entry, n = entry[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1]))[: len(entry)])
+    if n is None:
+        return entry[first], np.diff(np.append(first, len(entry)))
+    return entry[first], np.add.reduceat(n, first) if len(first) else n[:0]
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of 4 or 8 bytes an element, each as planes of bytes, which compress well where values are sorted or small."""
+    """Arrays as planes of bytes, which compress well where values are sorted or small."""
     return b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
 
 
@@ -106,7 +135,7 @@ def by_part(part: np.ndarray, *arrays: np.ndarray):
         yield int(part[x]), [a[x:y] for a in arrays]
 
 
-def parts(texts: list, words: int = 2_000_000):
+def parts(texts: list, words: int = 300_000):
     """Texts in turns of a bounded number of bytes, at least one each."""
     part, size = [], 0
     for t in texts:
@@ -234,7 +263,7 @@ def nonzero(total: np.ndarray):
 
 def grouped(batches, finish):
     """finish(part, blobs) for rows (part, blob) sorted by part; blobs is an iterator that must be used up."""
-    rows = (r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+    rows = ((part, memoryview(blob.as_buffer())) for b in batches for part, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True))
     held = next(rows, None)
 
     def blobs(part):
@@ -248,41 +277,25 @@ def grouped(batches, finish):
     release()
 
 
-def seen(blobs) -> tuple[np.ndarray, ...]:
-    """(key, c, n) of words between neighbours of which there are at least two in the corpus, from a part's counts."""
-    held, waiting = [np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64)], []
-
-    def merge():
-        # A key is told apart by its neighbours first: equal neighbours are found through them.
-        context, word, n = (np.concatenate([held[i], *[w[i] for w in waiting]]) for i in range(3))
-        order = np.lexsort((word, context))
-        context, word, n = context[order], word[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))[: len(context)])
-        held[:] = [context[first], word[first], np.add.reduceat(n, first) if len(first) else n[:0]]
-        waiting.clear()
-
-    size = 0
-    for blob in blobs:
-        context, word, n = unpacked(blob, "u8", "u4", "u4")
-        waiting.append((context, word, n.astype(np.int64)))
-        size += len(context)
-        if size > 4 * PART_WORDS:
-            merge()
-            size = 0
-    merge()
-    context, word, c = held
-    if not len(context):
-        return np.empty(0, np.uint64), c, c
-    first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-    n = np.repeat(np.add.reduceat(c, first), np.diff(np.append(first, len(context))))
+def seen(blobs) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a part, and (key, c, n) of its entries whose neighbours have at least two words in the corpus."""
+    held, waiting, size, load = (np.empty(0, np.uint64), np.empty(0, np.int64)), [], 0, 0
+    for blob in chain(blobs, [None]):
+        if blob is None or size > PART_WORDS:
+            held = distinct(*(np.concatenate([held[i], *[w[i] for w in waiting]]) for i in (0, 1)))
+            waiting, size = [], 0
+        if blob is not None:
+            entry, n = unpacked(blob, "u8", "u4")
+            waiting.append((entry, n.astype(np.int64)))
+            size, load = size + len(entry), load + int(n.sum())
+    entry, c = held
+    context = entry >> np.uint64(WORD_BITS)
+    first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1]))[: len(context)])
+    n = np.repeat(np.add.reduceat(c, first) if len(first) else c, np.diff(np.append(first, len(context))))
     some = n > 1
-    key, c, n = key_of(context[some], word[some]), c[some], n[some]
+    key = whole(*short(entry[some]))
     order = np.argsort(key)
-    return key[order], c[order], n[order]
-
-
-def key_of(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(context + mixed(word.astype(np.uint64)))
+    return load, key[order], c[some][order], n[some][order]
 
 
 def log_likelihood(docs: DataFrame) -> DataFrame:
@@ -309,23 +322,20 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     vocabulary = Vocabulary.of(counts)
     #: Parts of the context tables: their number grows with the corpus.
     parted = 1 << max(5, int(counts.sum() // PART_WORDS).bit_length())
-    shift = np.uint64(64 - parted.bit_length() + 1)
+    shift = 64 - parted.bit_length() + 1
+    #: Few parts to a task: what it sorts and streams stays far below a batch of Arrow.
+    spread = min(parted, 8192)
     shared = context.broadcast(vocabulary.class_of)  # BUCKETS numbers
 
     def gather(batches):
-        """Counts of (neighbours, word) in parts from 0, and of class cells in CELL_PARTS parts beyond."""
+        """Counts of entries in parts from 0, and of class cells in CELL_PARTS parts beyond."""
         words, total = Words(), np.zeros(CELLS, np.int64)
         for b in batches:
             for texts in parts(b.column(0).to_pylist()):
                 flat, sizes = words(texts)
                 total += np.bincount(cell_ids(shared.value[buckets(flat)].astype(np.int64), sizes), minlength=CELLS)
-                around, word = neighbours(flat, sizes), (flat >> np.uint64(32)).astype(np.uint32)
-                order = np.lexsort((word, around))
-                around, word = around[order], word[order]
-                first = np.flatnonzero(np.concatenate(([True], (around[1:] != around[:-1]) | (word[1:] != word[:-1])))[: len(around)])
-                n = np.diff(np.append(first, len(around))).astype(np.uint32)
-                made = list(by_part(around[first] >> shift, around[first], word[first], n))
-                yield rows_of([k for k, _ in made], [packed(*x) for _, x in made])
+                made = [(k, distinct(x)) for k, (x,) in by_part(*entries(flat, sizes, shift))]
+                yield rows_of([k for k, _ in made], [packed(x, n.astype(np.uint32)) for _, (x, n) in made])
         k = np.flatnonzero(total)
         made = list(by_part(k % CELL_PARTS, k, total[k]))
         yield rows_of([parted + p for p, _ in made], [packed(*x) for _, x in made])
@@ -343,20 +353,12 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                 k = np.flatnonzero(total)
                 yield rows_of([part], [packed(k, total[k])]).append_column("load", pa.array([0], pa.int64()))
             else:
-                load = 0
-
-                def counted():
-                    nonlocal load
-                    for blob in blobs:
-                        load += int(unpacked(blob, "u8", "u4", "u4")[2].sum())
-                        yield blob
-
-                blob = packed(*seen(counted()))
-                yield rows_of([part], [blob]).append_column("load", pa.array([load], pa.int64()))
+                load, key, c, n = seen(blobs)
+                yield rows_of([part], [packed(key, c, n)]).append_column("load", pa.array([load], pa.int64()))
 
         yield from grouped(batches, finish)
 
-    tables = rows.select("text").mapInArrow(gather, "part long, blob binary").repartition("part").sortWithinPartitions("part")
+    tables = rows.select("text").mapInArrow(gather, "part long, blob binary").repartition(spread, "part").sortWithinPartitions("part")
     tables = scratch.write(tables.mapInArrow(collect, "part long, blob binary, load long"), "contexts")
     cells, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for r in tables.where(F.col("part") >= parted).select("blob").toLocalIterator():  # CELLS cells at most
@@ -376,18 +378,18 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids = b.column(0)
             done = 0
-            for texts in parts(b.column(1).to_pylist(), 500_000):
+            for texts in parts(b.column(1).to_pylist()):
                 flat, sizes = words(texts)
                 where = buckets(flat)
                 p = lookup[cell_ids(class_of[where].astype(np.int64), sizes)] + within[where]
-                around = neighbours(flat, sizes)
+                part, entry = entries(flat, sizes, shift)
                 row = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
-                key = key_of(around, (flat >> np.uint64(32)).astype(np.uint32))
+                step = np.minimum(np.rint(p * -SCALE), 65535).astype(np.uint16)
                 names, blobs, turn = [], [], turn + 1
                 start = np.array([task << 33 | at], np.int64).tobytes()
-                for k, (x, y, z) in by_part(around >> shift, key, row, p.astype(np.float32)):
+                for k, (x, y, z) in by_part(part, entry, row, step):
                     names.append(k | (turn % salts[k] if k in salts else 0) << 40)
-                    blobs.append(start + packed(x, y, z))
+                    blobs.append(start + packed(*short(x), np.diff(y, prepend=np.uint32(0)).astype(np.uint32), z))
                 total = np.concatenate(([0.0], np.cumsum(p, dtype=np.float64)))
                 end = np.cumsum(sizes)
                 some = ids.slice(done, len(sizes))
@@ -412,10 +414,11 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                 return
             key, c, n = unpacked(next(blobs), "u8", "i8", "i8")
             for blob in blobs:
-                start, (x, row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(blob[8:], "u8", "u4", "f4")
+                start, (low, high, row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(blob[8:], "u4", "u2", "u4", "u2")
+                x, row, p = whole(low, high), np.cumsum(row, dtype=np.int64), p / -SCALE
                 at = np.minimum(np.searchsorted(key, x), max(0, len(key) - 1))
                 hit = np.flatnonzero(key[at] == x) if len(key) else np.empty(0, np.int64)
-                at, row, p = at[hit], row[hit].astype(np.int64), p[hit].astype(np.float64)
+                at, row, p = at[hit], row[hit], p[hit]
                 more = np.log((c[at] - 1 + PRIOR * np.exp(p)) / (n[at] - 1 + PRIOR)) - p
                 if len(row):
                     total, some = np.bincount(row, more), np.flatnonzero(np.bincount(row))
@@ -430,7 +433,7 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     known = tables.where(F.col("part") < parted).select("part", "blob", salt.alias("salt"))
     known = known.select((F.col("part") + F.col("salt") * F.lit(1 << 40)).alias("part"), "blob", F.lit(True).alias("first"))
     # Every part has a table, if an empty one, since every word has been gathered.
-    dealt = words.unionByName(known).repartition("part").sortWithinPartitions("part", F.col("first").desc())
+    dealt = words.unionByName(known).repartition(spread, "part").sortWithinPartitions("part", F.col("first").desc())
     found = dealt.mapInArrow(update, "row long, doc_id long, n long, s double")
     out = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_tokens"), F.sum("s").alias("log_likelihood"))
     return out.select("doc_id", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
