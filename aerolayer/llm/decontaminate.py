@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LETTERS, Scratch, table
+from .common import LETTERS, Scratch, release, table
 
 #: Words in a seed, which is the shortest tile, and the share of an item's words that makes a leak.
 SEED, COVERAGE = 3, 0.8
@@ -40,7 +40,7 @@ class Codes(dict):
 
     def __missing__(self, word: bytes) -> int:
         code = xxhash.xxh3_64_intdigest(word) or 1
-        if len(self) < 200_000:
+        if len(self) < 50_000:
             self[word] = code
         return code
 
@@ -158,6 +158,7 @@ def filter_of(seeds: DataFrame) -> bytes:
         got = np.flatnonzero(bits)
         for at in range(0, len(got), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(got[at : at + (1 << 16)].astype(np.int32))], ["cell"])
+        release()
 
     bits = np.zeros(FILTER_BITS, bool)
     bits[seeds.select("seed").mapInArrow(run, "cell int").distinct().toArrow().column("cell").to_numpy()] = True
@@ -194,6 +195,7 @@ def marked_seeds(texts: DataFrame, lengths: list[int], known) -> DataFrame:
                         for c, v in zip(out, (i, body, got.view(np.int64), held.tobytes()), strict=True):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()), strict=True)], ["id", "body", "seeds", "residue"])
+        release()
 
     return texts.mapInArrow(run, "id long, body long, seeds array<long>, residue binary")
 
@@ -237,6 +239,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: flo
                     for c, v in zip(out, (i, item, share, len(got)), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.int32()), strict=True)], ["doc_id", "item_id", "coverage", "tiles"])
+        release()
 
     full = marks.join(pairs, ["id", "body"]).join(items, ["item", "item_body"]).select("id", "residue", "item", "item_text")
     return full.mapInArrow(tile, "doc_id long, item_id long, coverage double, tiles int")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, table
+from .common import WORD, Scratch, release, table
 
 #: Weights of sources in code point order, repeating; passes a document may have; seed.
 WEIGHTS, MOST, SEED = (5, 2, 1), 3, 17
@@ -155,7 +155,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: int =
         size, target = batch.column("source_size")[0].as_py(), batch.column("target")[0].as_py()
         passes = min(most, int(target // size)) if size else 0
         budget = round(target - passes * size) if passes < most else 0
-        return pa.table({"source": pa.array([source] * len(n), pa.string()), "size": lengths, "take": partial_pass(lengths, n, budget), "passes": np.full(len(n), passes), "source_size": np.full(len(n), size), "target": np.full(len(n), target)})
+        take = partial_pass(lengths, n, budget)
+        release()
+        return pa.table({"source": pa.array([source] * len(n), pa.string()), "size": lengths, "take": take, "passes": np.full(len(n), passes), "source_size": np.full(len(n), size), "target": np.full(len(n), target)})
 
     lengths = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     told = lengths.join(goals, lengths["source"].eqNullSafe(goals["source"])).select(lengths["source"], "size", "n", "source_size", "target")

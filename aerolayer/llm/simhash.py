@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame, k: int) -> DataFrame:
         for b in batches:
             fp = [majority(shingle_hashes(t, k)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed(np.array(fp, np.uint64)))], ["doc_id", "fp"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")
@@ -179,7 +180,8 @@ def deal(rows: DataFrame, trees: dict, radius: int) -> DataFrame:
 def link_fingerprints(reps: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) between ``rep`` ids whose distinct fingerprints ``fp`` differ in ``radius`` or fewer bits.
 
-    Returns links that span every component; pairs inside a component need not all be listed.  Shards that
+    Returns links that span every component; pairs inside a component need not all be listed, but every pair
+    has a common a (or is an edge): edges are stars around the a of a chain of fingerprints in one leaf.  Shards that
     come out too large get upper levels of their own, from a bounded sample of theirs, until none is or no
     vantage point parts them any more: those are balls of fingerprints that lie within a few bits.
     """
@@ -214,7 +216,7 @@ def link_fingerprints(reps: DataFrame, radius: int) -> DataFrame:
         f = np.ascontiguousarray(f).view(np.uint64)
         found = links(f, radius)
         a, b = (np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in (0, 1))
-        pairs = np.unique(np.stack([np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])], axis=1), axis=0)
+        pairs = np.unique(np.stack([rep[b], rep[a]], axis=1), axis=0)
         return pa.table({"a": pairs[:, 0].astype(np.int64), "b": pairs[:, 1].astype(np.int64)})
 
     dealt = done[0]
@@ -305,6 +307,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 part = b.slice(at, 500)
                 sets = [signed(np.unique(shingle_hashes(t, WORDS))) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+        release()
 
     return docs.mapInArrow(run, "doc_id long, shingles array<long>")
 
@@ -367,6 +370,9 @@ def by_group(batches, names: tuple[str, ...], finish):
         out.append(finish(pa.Table.from_batches(held)))
     if out:
         yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+    held.clear()
+    out.clear()
+    release()
 
 
 def sketches(t: pa.Table) -> np.ndarray:
@@ -492,7 +498,7 @@ def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, component_id) of documents, by verified links of SIMILARITY or more.
 
     Exact copies form one class before any comparison.  Candidates are the pairs of two kinds of groups: chains
-    of fingerprints of whole texts at 3 bits or fewer, from the vantage-point trees, and classes that share a
+    of fingerprints of whole texts at 3 bits or fewer in the leaves of the vantage-point trees, and classes that share a
     band's fingerprint.  All pairs of a group whose sketches may be SIMILARITY alike are verified on their shingle
     sets, unless verified links have joined them already.
     """
@@ -501,12 +507,11 @@ def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     reps = scratch.write(reps, "reps")
     names = scratch.write(marks.select("doc_id", "body"), "names")
     scratch.drop(marks)
-    # The trees' links span the classes of fingerprints but are not all near pairs: a class is a group like those of bands.
+    # The trees' links are stars, whose members need not be near the middle but may be near one another: each is a group like those of bands.
     points = scratch.write(reps.groupBy("fp").agg(F.min("rep").alias("point")), "points")
-    edges = scratch.write(link_fingerprints(points.select("fp", F.col("point").alias("rep")), 3), "edges")
-    balls = scratch.write(connected_components(edges, "a", "b"), "balls")
-    named = reps.select("rep", "fp").join(points, "fp").join(balls, F.col("point") == balls["node"], "left")
-    near = named.select("rep", F.lit(-1).alias("band"), F.coalesce("component", "point").alias("fp"))
+    stars = link_fingerprints(points.select("fp", F.col("point").alias("rep")), 3).select(F.col("a").alias("star"), F.col("b").alias("point"))
+    stars = scratch.write(stars.unionByName(points.select(F.col("point").alias("star"), "point")).distinct(), "stars")
+    near = reps.select("rep", "fp").join(points, "fp").join(stars, "point").select("rep", F.lit(-1).alias("band"), F.col("star").alias("fp"))
     banded, members = band_candidates(reps, near, scratch)
     tested = scratch.write(banded.distinct(), "pairs")
     like = verified(tested, reps, docs, scratch)

@@ -344,6 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                 out[1].append([b" ".join(w[s : s + WINDOW]) for s in starts])
                 out[2].append(y)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.binary())), pa.array(out[2], pa.int32())], ["doc_id", "windows", "toxic"])
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(picked, "doc_id")
     # A doc_id that repeats counts once, by its least text.
