@@ -234,7 +234,7 @@ def url_list(spark, d):
     return web.url_list(spark, path)
 
 
-@query("SELECT n_name AS name, CAST(n_nationkey AS DOUBLE) AS x, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_regionkey END AS r FROM nation")
+@query("SELECT n_name AS name, CAST(n_nationkey AS DOUBLE) AS x, CAST(CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE n_regionkey END AS BIGINT) AS r FROM nation")
 def feature_file(spark, d):
     """Features written as one gzip collection by several tasks, and read again."""
     path = f"{scratch_folder(spark)}/out.geojson.gz"
