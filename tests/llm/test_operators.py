@@ -740,7 +740,7 @@ def test_added_spans_among_other_numbers(spark):
     texts = ["call phone (873) 555-4781 now. call phone (212) 555-1234 now.", "in room 7 please call phone (212) 555-1234 now.", secret + " end", "order 555-123-4567 shipped", "mail a@b.cc, call (212) 555-1234, ip 10.0.0.1 and password=x9y8z7w6v5"]
     got = [r.spans for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert got[:4] == ["phone_local:11:25,phone_local:42:56", "phone_local:28:42", f"secret:0:{len(secret)}", ""]
-    assert got[4] == "email:5:11,ip:38:46,phone_local:18:32,secret:51:70"
+    assert got[4] == "email:5:11,ip:37:45,phone_local:18:32,secret:50:69"
     out = [r.text for r in pii.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert out[0] == "call phone <phone_local> now. call phone <phone_local> now." and out[2] == "<secret> end" and out[4] == "mail <email>, call <phone_local>, ip <ip> and <secret>"
 
