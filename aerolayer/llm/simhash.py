@@ -29,8 +29,8 @@ LEAF = 512
 #: Bands of the similarity stage, shingles sampled for each, words in a shingle, least similarity.
 BANDS, ROWS, WORDS, SIMILARITY = 12, 3, 5, 0.8
 #: Bins of a sketch; pairs whose estimate falls MARGIN short of SIMILARITY are not verified (over three standard
-#: deviations); members compared in one task at a time; leaders that a member is verified against.
-BINS, MARGIN, CHUNK, TOP = 128, 0.12, 2048, 3
+#: deviations); members compared in one task at a time, and their shingles; leaders that a member is verified against.
+BINS, MARGIN, CHUNK, TOP, LOAD = 128, 0.12, 2048, 3, 4_000_000
 
 
 def shingle_hashes(text: bytes | None, k: int) -> np.ndarray:
@@ -401,57 +401,131 @@ def candidates_within(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(lambda batches: by_group(batches, keys, finish), "band int, fp long, a long, b long")
 
 
-def unlinked_pairs(one: pa.Table, two: pa.Table, most: int) -> tuple[list[int], list[int], bool]:
-    """Pairs of members in different components that size and sketch do not rule out, and whether there are more.
+def alike(ra: np.ndarray, na: np.ndarray, ca: np.ndarray, ga: np.ndarray, sa: np.ndarray, row: tuple, main: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members that ``row`` (rep, size, component, bands, sketch) may be SIMILARITY alike, and the estimates.
 
-    ``two`` has members outside the group's main component, ``one`` has any (columns rep, size, component, main,
-    sketch).  Of two components the ``most`` likest pairs are given.  Pairs outside the main component come once,
-    with the smaller rep from ``one``.
+    Left out are those of its own component, of other sizes or sketches, and, so that a pair is met once: of two
+    members outside the main component the other order, and those that share an earlier band.
     """
-    (ra, na, ca, ma), (rb, nb, cb, _) = ([t.column(c).to_numpy() for c in ("rep", "size", "component", "main")] for t in (one, two))
-    sa, sb = sketches(one), sketches(two)
-    at, to, like = [], [], []
-    for i in range(len(rb)):
-        may = (ca != cb[i]) & ((ca == ma) | (ra < rb[i])) & (np.minimum(na, nb[i]) >= SIMILARITY * np.maximum(na, nb[i]))
-        k = np.flatnonzero(may)
-        e = estimates(sb[i], sa[k])
-        near = e >= SIMILARITY - MARGIN
-        at.append(k[near])
-        to.append(np.full(len(at[-1]), i))
-        like.append(e[near])
-    at, to, like = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (at, to, like))
-    x, y = np.minimum(ca[at], cb[to]), np.maximum(ca[at], cb[to])
-    order = np.lexsort((-like, y, x))
-    x, y = x[order], y[order]
-    starts = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])))[: len(x)]
-    place = np.arange(len(x)) - np.maximum.accumulate(np.where(starts, np.arange(len(x)), 0))
-    kept = order[place < most]
-    return ra[at[kept]].tolist(), rb[to[kept]].tolist(), len(kept) < len(order)
-
-
-def candidates_left(reps: DataFrame, members: DataFrame, comps: DataFrame, most: int) -> DataFrame:
-    """(band, fp, a, b) of members (band, fp, rep): pairs of a group that verified links have not joined yet.
-
-    A row with null a and b marks a group that has more pairs of two components than ``most``.  All members of a
-    group meet those outside its main component, in cells of CHUNK by CHUNK.
+    rep, size, component, bands, sketch = row
+    may = (ca != component) & ((ca == main) | (ra < rep)) & (np.minimum(na, size) >= SIMILARITY * np.maximum(na, size))
+    k = np.flatnonzero(may)
+    k = k[~(ga[k, :band] == bands[:band]).any(axis=1)]
+    e = estimates(sketch, sa[k])
+    return k[e >= SIMILARITY - MARGIN], e[e >= SIMILARITY - MARGIN]
+
+
+def group_arrays(t: pa.Table) -> tuple[np.ndarray, ...]:
+    """rep, size, component, bands and sketch of members."""
+    bands = pc.list_flatten(t.column("bands")).to_numpy().reshape(-1, BANDS)
+    return *(t.column(c).to_numpy() for c in ("rep", "size", "component")), bands, sketches(t)
+
+
+def earlier_bands(t: pa.Table) -> int:
+    """Bands whose groups come before this one; groups of fingerprints (band -1) come last."""
+    band = t.column("band")[0].as_py()
+    return BANDS if band < 0 else band
+
+
+def open_members(one: pa.Table, two: pa.Table) -> np.ndarray:
+    """The reps of members with a pair (see ``alike``): a row for a member, however many pairs it has."""
+    main, band = two.column("main")[0].as_py(), earlier_bands(two)
+    a, b = group_arrays(one), group_arrays(two)
+    hit, some = np.zeros(len(a[0]), bool), np.zeros(len(b[0]), bool)
+    for i in range(len(some)):
+        k, _ = alike(*a, tuple(x[i] for x in b), main, band)
+        hit[k] = True
+        some[i] = len(k) > 0
+    return np.union1d(a[0][hit], b[0][some])
+
+
+def verified_links(one: pa.Table, two: pa.Table) -> list[tuple[int, int]]:
+    """Links of SIMILARITY on whole shingle sets that span all those between members of different components.
+
+    Every pair that ``alike`` gives is verified, the likest first, unless links found here have joined the two.
     """
-    named = members.join(comps, members["rep"] == comps["node"], "left").select("band", "fp", "rep", F.coalesce("component", "rep").alias("component"))
-    parts = named.groupBy("band", "fp", "component").agg(F.count("*").alias("n"))
-    groups = parts.groupBy("band", "fp").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-    groups = groups.where("n > top.n").select("band", "fp", F.col("top.component").alias("main"), *[F.ceil(c / CHUNK).cast("int").alias(x) for x, c in (("ones", F.col("n")), ("twos", F.col("n") - F.col("top.n")))])
-    rows = named.join(groups, ["band", "fp"]).join(reps.select("rep", "size", "sketch"), "rep")
+    main, band = two.column("main")[0].as_py(), earlier_bands(two)
+    a, b = group_arrays(one), group_arrays(two)
+    sa, sb = ([x.values.to_numpy().view(np.uint64) for x in t.column("shingles")] for t in (one, two))  # sorted as such
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(up, up)
+        return c
+
+    out = []
+    for i in range(len(sb)):
+        k, e = alike(*a, tuple(x[i] for x in b), main, band)
+        own = int(b[2][i])
+        for j in k[np.argsort(-e, kind="stable")].tolist():
+            if (x := root(int(a[2][j]))) == (y := root(own)):
+                continue
+            at = np.minimum(np.searchsorted(sb[i], sa[j]), len(sb[i]) - 1)
+            shared = int((sb[i][at] == sa[j]).sum())
+            if shared >= SIMILARITY * (len(sa[j]) + len(sb[i]) - shared):
+                parent[x] = y
+                out.append((int(a[0][j]), int(b[0][i])))
+    return out
+
+
+def cells(named: DataFrame, reps: DataFrame, load: int) -> DataFrame:
+    """Members (band, fp, rep, component) of groups with several components, dealt into cells (band, fp, i, j).
+
+    All members of a group (second false) meet those outside its main component (second true); neither
+    side of a cell has much more than CHUNK members or ``load`` shingles.
+    """
+    sized = named.join(reps.select("rep", "size"), "rep")
+    parts = sized.groupBy("band", "fp", "component").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    groups = parts.groupBy("band", "fp").agg(F.max(F.struct("n", "component", "s")).alias("top"), F.sum("n").alias("n"), F.sum("s").alias("s")).where("n > top.n")
+    count = lambda n, s: F.greatest(F.ceil(n / CHUNK), F.ceil(s / load)).cast("int")
+    groups = groups.select("band", "fp", F.col("top.component").alias("main"), count(F.col("n"), F.col("s")).alias("ones"), count(F.col("n") - F.col("top.n"), F.col("s") - F.col("top.s")).alias("twos"))
+    rows = named.join(groups, ["band", "fp"])
     own, every = (lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
-    keys, held = ("band", "fp", "i", "j"), ("rep", "size", "component", "main", "sketch")
+    held = ("rep", "component", "main")
     one = rows.select("band", "fp", own("ones").alias("i"), every("twos").alias("j"), F.lit(False).alias("second"), *held)
     two = rows.where("component <> main").select("band", "fp", every("ones").alias("i"), own("twos").alias("j"), F.lit(True).alias("second"), *held)
+    return one.unionByName(two)
 
-    def finish(t):
+
+def by_cell(rows: DataFrame, finish, schema: str) -> DataFrame:
+    """finish(rows of a cell, its one and two side) of rows of ``cells``, a cell at a time."""
+    keys = ("band", "fp", "i", "j")
+
+    def sides(t):
         second = t.column("second")
-        a, b, more = unlinked_pairs(t.filter(pc.invert(second)), t.filter(second), most)
-        return found_pairs(t, a + [None] * more, b + [None] * more)
+        return finish(t, t.filter(pc.invert(second)), t.filter(second))
 
-    dealt = one.unionByName(two).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(lambda batches: by_group(batches, keys, finish), "band int, fp long, a long, b long")
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(lambda batches: by_group(batches, keys, sides), schema)
+
+
+def links_left(reps: DataFrame, members: DataFrame, comps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): links that span those between members (band, fp, rep) of a group that ``comps`` has not joined yet.
+
+    Pairs are never rows: sketches leave the members that have a pair at all, and those meet again with their
+    shingle sets, where each cell verifies its pairs and gives a forest of their links.
+    """
+    named = members.join(comps, members["rep"] == comps["node"], "left").select("band", "fp", "rep", F.coalesce("component", "rep").alias("component"))
+
+    def opened(t, one, two):
+        rep = open_members(one, two) if len(one) and len(two) else np.empty(0, np.int64)
+        return found_pairs(t, rep.tolist(), [None] * len(rep))
+
+    schema, marks = "band int, fp long, a long, b long", reps.select("rep", "size", "bands", "sketch")
+    left = by_cell(cells(named, reps, 1 << 40).join(marks, "rep"), opened, schema).select("band", "fp", F.col("a").alias("rep")).distinct()
+    left = scratch.write(left, "left")
+    ids = scratch.write(left.select(F.col("rep").alias("doc_id")).distinct(), "ids")
+    sets = whole_sets(docs, ids, scratch)
+    rows = cells(left.join(named, ["band", "fp", "rep"]), reps, LOAD).join(marks, "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+
+    def linked(t, one, two):
+        found = verified_links(one, two) if len(one) and len(two) else []
+        return found_pairs(t, [x for x, _ in found], [x for _, x in found])
+
+    links = scratch.write(by_cell(rows, linked, schema).select("a", "b").distinct(), "links")
+    scratch.drop(left, ids, sets)
+    return links
 
 
 def band_candidates(reps: DataFrame, near: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -459,7 +533,7 @@ def band_candidates(reps: DataFrame, near: DataFrame, scratch: Scratch) -> tuple
 
     Groups are classes that share a band's fingerprint, and those of ``near`` (rows of the same columns).
     Groups beyond CHUNK go through in chunks, whose leaders form the group of the next level, while levels
-    shrink.  These pairs join most of a group with few links; ``candidates_left`` finds what they leave out.
+    shrink.  These pairs join most of a group with few links; ``links_left`` finds what they leave out.
     """
     members = reps.select("rep", F.posexplode("bands").alias("band", "fp")).unionByName(near)
     counts = members.groupBy("band", "fp").agg(F.count("*").alias("n"))
@@ -478,14 +552,19 @@ def band_candidates(reps: DataFrame, near: DataFrame, scratch: Scratch) -> tuple
     return found, every
 
 
+def whole_sets(docs: DataFrame, ids: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, shingles) of the documents ``ids``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return scratch.write(shingle_sets(texts.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of texts that share SIMILARITY of their shingles."""
     sizes = [reps.select(F.col("rep").alias(x), F.col("size").alias(f"n{x}")) for x in "ab"]
     close = pairs.join(sizes[0], "a").join(sizes[1], "b").where((F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")) & (F.greatest("na", "nb") > 0))
     close = scratch.write(close.select("a", "b"), "close")
     ids = scratch.write(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sets = scratch.write(shingle_sets(texts.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    sets = whole_sets(docs, ids, scratch)
     one, two = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
     shared = F.size(F.array_intersect("sa", "sb"))
     like = close.join(one, "a").join(two, "b").where(shared >= SIMILARITY * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
@@ -513,25 +592,11 @@ def similar_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     stars = scratch.write(stars.unionByName(points.select(F.col("point").alias("star"), "point")).distinct(), "stars")
     near = reps.select("rep", "fp").join(points, "fp").join(stars, "point").select("rep", F.lit(-1).alias("band"), F.col("star").alias("fp"))
     banded, members = band_candidates(reps, near, scratch)
-    tested = scratch.write(banded.distinct(), "pairs")
-    like = verified(tested, reps, docs, scratch)
+    like = verified(scratch.write(banded.distinct(), "pairs"), reps, docs, scratch)
     comps = scratch.write(connected_components(like, "a", "b"), "comps")
-    most = 4
-    while True:
-        out = scratch.write(candidates_left(reps, members, comps, most), "left")
-        pairs = out.where("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = scratch.write(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.limit(1).count():
-            tested = tested.unionByName(pairs)
-            more = verified(pairs, reps, docs, scratch)
-            if more.limit(1).count():
-                like = like.unionByName(more)
-                comps = scratch.write(connected_components(like, "a", "b"), "comps")
-        going = out.where("b is null").select("band", "fp").distinct()
-        if not going.limit(1).count():
-            break
-        members = scratch.write(members.join(going, ["band", "fp"], "left_semi"), "members")
-        most *= 16
+    more = links_left(reps, members, comps, docs, scratch)
+    if more.limit(1).count():
+        comps = scratch.write(connected_components(like.unionByName(more), "a", "b"), "comps")
     named = reps.select("body", "rep").join(comps, reps["rep"] == comps["node"], "left").select("body", F.coalesce("component", "rep").alias("component_id"))
     return names.join(scratch.write(named, "named"), "body").select("doc_id", "component_id")
 

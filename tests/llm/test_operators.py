@@ -479,6 +479,32 @@ def test_near_duplicates_of_five_thousand_texts(spark, monkeypatch):
     assert got == groups
 
 
+def test_rows_of_a_hot_group_grow_with_its_members(spark, monkeypatch):
+    rng = random.Random(17)
+    base, rows = words(rng, 200, 10**6), []
+    for i in range(200):  # copies about 0.74 alike: members of one group, but mostly not linked
+        w = list(base)
+        for p in rng.sample(range(200), 3):
+            w[p] = f"c{i}p{p}"
+        rows.append((i, " ".join(w)))
+    for i in range(0, 200, 20):
+        w = rows[i][1].split()
+        w[100] = f"d{i}"
+        rows.append((1000 + i, " ".join(w)))
+    written, write = {}, common.Scratch.write
+
+    def counted(self, df, label):
+        out = write(self, df, label)
+        written[label] = max(out.count(), written.get(label, 0))
+        return out
+
+    monkeypatch.setattr(common.Scratch, "write", counted)
+    df = spark.createDataFrame([(*r, "a", 0) for r in rows], SCHEMA)
+    got = {r.doc_id: r.component_id for r in simhash.similar_classes(df, common.Scratch(spark, "t")).collect()}
+    assert got == quick_near_groups(rows)[0]
+    assert written["left"] <= (simhash.BANDS + 1) * len(rows), written
+
+
 def test_large_shards_are_parted_again(spark, monkeypatch):
     monkeypatch.setattr(simhash, "SHARD", 64)
     rng = np.random.default_rng(17)
