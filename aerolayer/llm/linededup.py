@@ -11,45 +11,26 @@ of the longest run of lines that has occurred before (the longest previous facto
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import Scratch, release, table
+from .common import Scratch, table
 
 #: Later copies of runs with more words than this go.
 WORDS = 50
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """(d, h, p, n1, n2): the 128-bit name of line p of the text with hash h of document d."""
-
-    def run(batches):
-        for b in batches:
-            counts, names, hashes = [], [], []
-            for t in b.column(1).to_pylist():
-                lines = t.split(b"\n")
-                counts.append(len(lines))
-                hashes.append(xxhash.xxh64_intdigest(t, 42))
-                names += [xxhash.xxh3_128_digest(x) for x in lines]
-            rows = np.repeat(np.arange(len(counts)), counts)
-            p = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
-            n = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
-            h = np.array(hashes, np.uint64).view(np.int64)[rows]
-            for at in range(0, len(rows), 100_000):
-                s = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(rows[s])), pa.array(h[s]), pa.array(p[s].astype(np.int32)), pa.array(n[s, 0].copy()), pa.array(n[s, 1].copy())],
-                    ["d", "h", "p", "n1", "n2"],
-                )
-        release()
-
-    rows = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("long").alias("d"), F.col("text").cast("binary").alias("t")
-    )
-    return rows.mapInArrow(run, "d long, h long, p int, n1 long, n2 long")
+    """(d, h, p, n1, n2): the 128-bit name of line p of the text with hash h of document d.
+
+    Names are the halves of the line's MD5.  Lines are cut by Spark itself, row by row: whole batches of texts for
+    Python workers would be held twice.
+    """
+    rows = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("d"), F.col("text").cast("string").alias("text"))
+    lines = rows.select("d", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n")).alias("p", "line"))
+    half = lambda at: F.conv(F.substring("m", at, 16), 16, -10).cast("long")
+    return lines.select("d", "h", "p", F.md5("line").alias("m")).select("d", "h", "p", half(1).alias("n1"), half(17).alias("n2"))
 
 
 def name(a: str, b: str, *also) -> Column:

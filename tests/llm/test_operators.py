@@ -561,6 +561,19 @@ def test_line_dedup(spark, odd, empty):
 # 7
 
 
+def test_lines_are_named_without_batches_of_texts(spark):
+    texts = {1: "a\n\nb c\r\n", 2: "", 3: "\n", 4: "Grüße 𝄞\x00\nx\u2028y\u0085z", 5: None}
+    df = spark.createDataFrame([*texts.items(), (None, "a")], "doc_id long, text string")
+    want = set()
+    for i, t in texts.items():
+        for p, x in enumerate(t.encode().split(b"\n") if t is not None else []):
+            h = np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+            want.add((i, int(h), p, *np.frombuffer(hashlib.md5(x).digest(), ">i8").tolist()))
+    lines = linededup.line_table(df)
+    assert {tuple(r) for r in lines.collect()} == want
+    assert "Arrow" not in lines._jdf.queryExecution().toString()  # no worker holds a batch of whole texts
+
+
 def test_media(spark, odd, empty, tmp_path):
     got = media.media_columns(odd).collect()
     assert len(got) == 10
