@@ -79,25 +79,41 @@ def statements(files: DataFrame, whole: Column) -> DataFrame:
     return rows.select("path", F.explode(found).alias("statement")).withColumn("sid", F.md5("statement"))
 
 
+def term_counts(text: Column) -> Column:
+    """[(term, tf)] of a text, in one row: runs of the sorted terms."""
+    found = F.array_sort(terms(text))
+    starts = lambda t: F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1)))
+    runs = lambda t, s: F.transform(s, lambda x, i: F.struct(F.get(t, x).alias("term"), (F.coalesce(F.get(s, i + 1), F.size(t)) - x).cast("long").alias("tf")))
+    counted = F.transform(F.array(found), lambda t: F.transform(F.array(starts(t)), lambda s: runs(t, s))[0])[0]
+    return F.when(F.size(found) > 0, counted)
+
+
 def recognised(found: DataFrame, scratch: Scratch) -> DataFrame:
     """(sid, license, similarity) of those at SIMILARITY or more, over distinct statements.
 
-    Terms go by the statement's digest: a statement's text is never repeated for each of its terms.
+    Statements are numbered, so that neither a text nor its digest is repeated for each of its terms; their terms go
+    once to the weights and once back to the statement, where lengths and cosines are summed in one place.
     """
     spark = found.sparkSession
-    distinct = scratch.write(found.groupBy("sid").agg(F.first("statement").alias("statement")), "statements")
+    distinct = found.groupBy("sid").agg(F.first("statement").alias("statement"))
+    distinct = scratch.write(distinct.select("sid", F.monotonically_increasing_id().alias("id"), term_counts(F.col("statement")).alias("counts")), "statements")
     templates = spark.createDataFrame([(i, *t) for i, t in enumerate(TEMPLATES)], "template int, license string, words string")
-    count = lambda rows, key, text: rows.select(key, F.explode(terms(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    ours = scratch.write(count(distinct, "sid", "statement"), "terms")
-    theirs = count(templates, "template", "words")
+    ours = distinct.select("id", F.explode("counts").alias("c")).select("id", "c.term", "c.tf")
+    theirs = templates.select("template", F.explode(term_counts(F.col("words"))).alias("c")).select("template", "c.term", "c.tf")
     n = distinct.count() + len(TEMPLATES)
     df = ours.select("term").unionByName(theirs.select("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = scratch.write(df.select("term", (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")), "idf")
-    # Every term of a statement counts for its length; only terms of templates meet them.
-    pairs = weighted(ours, idf, "sid").alias("a").join(weighted(theirs, idf, "template").alias("b"), "term")
-    cosines = pairs.groupBy("sid", "template").agg(F.sum(F.col("a.w") * F.col("b.w")).alias("cosine")).where(F.col("cosine") >= SIMILARITY)
-    best = cosines.join(templates, "template").groupBy("sid").agg(F.max(F.struct(F.round("cosine", 9).alias("cosine"), (-F.col("template")).alias("t"), "license")).alias("best"))
-    return best.select("sid", F.col("best.license").alias("license"), F.col("best.cosine").alias("similarity"))
+    # Every term of a statement counts for its length; only terms of templates, numbered by ``t``, meet them.
+    terms_of = sorted({w for _, t in TEMPLATES for w in re.split("[^a-z0-9]+", t.lower()) if w})
+    numbers = F.broadcast(spark.createDataFrame(list(enumerate(terms_of)), "t int, term string"))
+    known = scratch.write(weighted(theirs, idf, "template").join(numbers, "term").select("t", "template", F.col("w").alias("x")), "templates")
+    weights = ours.join(idf.join(numbers, "term", "left"), "term").select("id", "t", (F.col("tf") * F.col("idf")).alias("w"))
+    whole = weights.repartition("id").groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.when(F.col("t").isNotNull(), F.struct("t", "w"))).alias("hits"))
+    pairs = whole.select("id", "norm", F.explode("hits").alias("h")).select("id", "norm", "h.t", "h.w").join(F.broadcast(known), "t")
+    cosines = pairs.groupBy("id", "template").agg(F.sum(F.col("w") / F.col("norm") * F.col("x")).alias("cosine")).where(F.col("cosine") >= SIMILARITY)
+    best = cosines.join(F.broadcast(templates), "template").groupBy("id").agg(F.max(F.struct(F.round("cosine", 9).alias("cosine"), (-F.col("template")).alias("t"), "license")).alias("best"))
+    best = scratch.write(best.select("id", F.col("best.license").alias("license"), F.col("best.cosine").alias("similarity")), "best")
+    return distinct.select("id", "sid").join(best, "id").select("sid", "license", "similarity")
 
 
 def scan(files: DataFrame) -> DataFrame:

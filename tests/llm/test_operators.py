@@ -758,6 +758,26 @@ def plain_spans(t):
     return ",".join(f"{k}:{m.start()}:{m.end()}" for k, p in PATTERNS.items() for m in re.finditer(p, t) if ok(k, m.group()))
 
 
+def test_terms_are_counted_in_a_row(spark):
+    texts = ["", "--", "b a, A b;b 1", "The MIT License, the MIT license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: {x.term: x.tf for x in r.c or []} for r in df.select("i", licenses.term_counts(F.col("text")).alias("c")).collect()}
+    assert got == {i: dict(Counter(w for w in re.split("[^a-z0-9]+", t.lower()) if w)) for i, t in enumerate(texts)}
+
+
+def test_no_digest_is_written_for_each_term(spark, monkeypatch):
+    written, write = {}, common.Scratch.write
+
+    def kept(self, df, label):
+        written[label] = out = write(self, df, label)
+        return out
+
+    monkeypatch.setattr(common.Scratch, "write", kept)
+    rows = [("a", "Released under the MIT License, and many other words of mine besides")]
+    assert licenses.scan(spark.createDataFrame(rows, "path string, text string")).count() == 1
+    assert all(t.count() <= 1 for t in written.values() if "sid" in t.columns)
+
+
 def test_base_spans(spark, odd, empty):
     rng = random.Random(10)
     parts = ["a.b@c.d", "x@y", "@", "1.2.3.4", "300.1.1.1", "007.08.0.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (873) 555-4781", "+12", "é𝄞", "a@b.co_x@d.ee", "12.34", " ", "\n", "word", ".", "5", "000000000000000000000000000001.1.1.1"]
