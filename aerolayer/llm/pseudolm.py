@@ -119,6 +119,16 @@ def unpacked(blob: bytes, *types) -> list[np.ndarray]:
     return out
 
 
+def pressed(data: bytes) -> bytes:
+    """Small numbers in few bits, for what is shuffled or written."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpressed(blob) -> bytes:
+    blob = bytes(blob)
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+
+
 def rows_of(part: list, blob: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blob, pa.binary())], ["part", "blob"])
 
@@ -354,7 +364,7 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                 yield rows_of([part], [packed(k, total[k])]).append_column("load", pa.array([0], pa.int64()))
             else:
                 load, key, c, n = seen(blobs)
-                yield rows_of([part], [packed(key, c, n)]).append_column("load", pa.array([load], pa.int64()))
+                yield rows_of([part], [pressed(packed(key, c, n))]).append_column("load", pa.array([load], pa.int64()))
 
         yield from grouped(batches, finish)
 
@@ -389,44 +399,58 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                 start = np.array([task << 33 | at], np.int64).tobytes()
                 for k, (x, y, z) in by_part(part, entry, row, step):
                     names.append(k | (turn % salts[k] if k in salts else 0) << 40)
-                    blobs.append(start + packed(*short(x), np.diff(y, prepend=np.uint32(0)).astype(np.uint32), z))
+                    blobs.append(start + pressed(packed(*short(x), np.diff(y, prepend=np.uint32(0)).astype(np.uint32), z)))
                 total = np.concatenate(([0.0], np.cumsum(p, dtype=np.float64)))
                 end = np.cumsum(sizes)
                 some = ids.slice(done, len(sizes))
-                table = pa.RecordBatch.from_arrays([pa.array(np.arange(len(sizes)) + (task << 33 | at)), some, pa.array(sizes), pa.array(total[end] - total[end - sizes])], ["row", "doc_id", "n", "s"])
+                table = pa.RecordBatch.from_arrays([some, pa.array(sizes), pa.array(total[end] - total[end - sizes])], ["doc_id", "n", "s"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as w:
                     w.write_batch(table)
                 names.append(parted + (task + turn) % parted)
-                blobs.append(sink.getvalue().to_pybytes())
+                blobs.append(start + sink.getvalue().to_pybytes())
                 at, done = at + len(sizes), done + len(sizes)
                 yield rows_of(names, blobs).append_column("first", pa.array([False] * len(names)))
         release()
 
     def update(batches):
-        """(row, doc_id, n, s): a row's own sums, and what the contexts of a part add to those of each row."""
-        columns = ["row", "doc_id", "n", "s"]
+        """(turn, blob, own): the turn's rows and their own sums, and what the contexts of a part add to those."""
+
+        def row(turn, blob, own):
+            return pa.RecordBatch.from_arrays([pa.array([turn], pa.int64()), pa.array([blob], pa.binary()), pa.array([own])], ["turn", "blob", "own"])
 
         def finish(part, blobs):
             if part & (1 << 40) - 1 >= parted:
                 for blob in blobs:
-                    yield from pa.ipc.open_stream(blob)
+                    yield row(int(np.frombuffer(blob, np.int64, 1)[0]), bytes(blob[8:]), True)
                 return
-            key, c, n = unpacked(next(blobs), "u8", "i8", "i8")
+            key, c, n = unpacked(unpressed(next(blobs)), "u8", "i8", "i8")
             for blob in blobs:
-                start, (low, high, row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(blob[8:], "u4", "u2", "u4", "u2")
-                x, row, p = whole(low, high), np.cumsum(row, dtype=np.int64), p / -SCALE
+                start, (low, high, at_row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(unpressed(blob[8:]), "u4", "u2", "u4", "u2")
+                x, at_row, p = whole(low, high), np.cumsum(at_row, dtype=np.int64), p / -SCALE
                 at = np.minimum(np.searchsorted(key, x), max(0, len(key) - 1))
                 hit = np.flatnonzero(key[at] == x) if len(key) else np.empty(0, np.int64)
-                at, row, p = at[hit], row[hit], p[hit]
+                at, at_row, p = at[hit], at_row[hit], p[hit]
                 more = np.log((c[at] - 1 + PRIOR * np.exp(p)) / (n[at] - 1 + PRIOR)) - p
-                if len(row):
-                    total, some = np.bincount(row, more), np.flatnonzero(np.bincount(row))
-                    nulls = pa.nulls(len(some), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(some + start), nulls, nulls, pa.array(total[some])], columns)
+                if len(at_row):
+                    total, some = np.bincount(at_row, more), np.flatnonzero(np.bincount(at_row))
+                    yield row(start, pressed(packed(np.diff(some, prepend=0).astype(np.uint32), total[some].astype(np.float32))), False)
 
         yield from grouped((b.select(["part", "blob"]) for b in batches), finish)
 
+    def add(batches):
+        """(doc_id, n_tokens, log_likelihood) of the rows of each turn, whose own sums come first."""
+
+        def finish(turn, blobs):
+            own = pa.ipc.open_stream(next(blobs)).read_all()
+            total = own.column("s").to_numpy().copy()
+            for blob in blobs:
+                step, more = unpacked(unpressed(blob), "u4", "f4")
+                total[np.cumsum(step, dtype=np.int64)] += more
+            yield from own.select(["doc_id", "n"]).append_column("s", pa.array(total)).rename_columns(["doc_id", "n_tokens", "log_likelihood"]).to_batches()
+
+        yield from grouped((b.select(["turn", "blob"]) for b in batches), finish)
+
     words = rows.mapInArrow(predict, "part long, blob binary, first boolean")
     salts = F.create_map(*[F.lit(x).cast("long") for kv in heavy.items() for x in kv]) if heavy else F.lit(None).cast("map<bigint,bigint>")
     salt = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.try_element_at(salts, F.col("part")), F.lit(1)) - 1))
@@ -434,8 +458,9 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     known = known.select((F.col("part") + F.col("salt") * F.lit(1 << 40)).alias("part"), "blob", F.lit(True).alias("first"))
     # Every part has a table, if an empty one, since every word has been gathered.
     dealt = words.unionByName(known).repartition(spread, "part").sortWithinPartitions("part", F.col("first").desc())
-    found = dealt.mapInArrow(update, "row long, doc_id long, n long, s double")
-    out = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n_tokens"), F.sum("s").alias("log_likelihood"))
+    found = dealt.mapInArrow(update, "turn long, blob binary, own boolean")
+    turns = found.repartition(spread, "turn").sortWithinPartitions("turn", F.col("own").desc())
+    out = turns.mapInArrow(add, "doc_id long, n_tokens long, log_likelihood double")
     return out.select("doc_id", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 

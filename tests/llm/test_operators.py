@@ -316,6 +316,16 @@ def test_pseudo_likelihood(spark, odd, empty, monkeypatch):
     assert len(out) == 10 and sorted((r.n_tokens for r in out))[:4] == [0, 0, 0, 0] and pseudolm.log_likelihood(empty).count() == 0
 
 
+def test_sums_travel_by_turns_not_by_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(words(rng, 40, 30))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    out = pseudolm.log_likelihood(df)
+    out.write.format("noop").mode("overwrite").save()
+    assert "HashAggregate" not in out._jdf.queryExecution().toString()  # no row for each document and part meets in a sum
+    assert out.count() == 400
+
+
 def test_texts_that_occur_twice_and_neighbours_within_a_class(spark):
     rng = random.Random(15)
     rows = [(i, " ".join(words(rng, 40, 3000))) for i in range(300)]
