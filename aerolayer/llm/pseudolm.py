@@ -41,22 +41,42 @@ PRIOR, PART_WORDS, CELL_PARTS = 4.0, 1_000_000, 64
 CONTEXT_BITS, WORD_BITS = 44, 20
 #: Log-probabilities travel in steps of 1 / SCALE, down to -32.
 SCALE = 2048
+#: Bytes of the longest word that numpy hashes; A-Z lower-cased and ASCII white space made spaces; masks of the first n bytes of eight.
+LONG = 64
+SPACED = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
-class Words(dict):
-    """The 64-bit hash of each word of texts; a bounded number of words is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        code = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 200_000:
-            self[word] = code
-        return code
+class Words:
+    """The 64-bit hash of each word of texts: words of up to LONG bytes by numpy, eight bytes at a time, longer ones by XXH3."""
 
     def __call__(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words, and the number of words of each text."""
-        docs = [(t or b"").lower().split() for t in texts]
-        sizes = np.array([len(d) for d in docs], np.int64)
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.uint64, int(sizes.sum())), sizes
+        texts = [t or b"" for t in texts]
+        data = b"".join((b" ", b" ".join(texts), b" " * 24)).translate(SPACED)
+        space = np.frombuffer(data, np.uint8) == 32
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        begin, lengths = edges[::2], edges[1::2] - edges[::2]
+        chunks = np.frombuffer(data, "<u8", len(data) // 8)
+
+        def chunk(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+            """Eight bytes, or what is left of a word and zeros."""
+            k, low = at >> 3, ((at & 7) << 3).astype(np.uint64)
+            x = chunks[k] >> low | chunks[k + 1] << np.uint64(1) << (np.uint64(63) - low)
+            return x & KEPT[np.minimum(left, 8)]
+
+        words = mixed(lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ chunk(begin, lengths))
+        more = np.flatnonzero((lengths > 8) & (lengths <= LONG))
+        for step in range(8, LONG, 8):
+            if not len(more):
+                break
+            words[more] = mixed(words[more] * np.uint64(0x9FB21C651E98DF25) + chunk(begin[more] + step, lengths[more] - step))
+            more = more[lengths[more] > step + 8]
+        words = mixed(words * np.uint64(0x9FB21C651E98DF25))  # mixed undoes half of itself
+        for k in np.flatnonzero(lengths > LONG).tolist():
+            words[k] = xxhash.xxh3_64_intdigest(data[begin[k] : begin[k] + lengths[k]])
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        return words, np.diff(np.searchsorted(begin, ends, "right"), prepend=0)
 
 
 def buckets(words: np.ndarray) -> np.ndarray:
@@ -186,22 +206,14 @@ class Vocabulary:
         return cls(class_of, np.log(smoothed / mass[class_of]).astype(np.float32))
 
 
-def contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(l2, l1, r1, r2) of every word, in inner ids for the near and outer ids for the far ones."""
-    n = len(classes)
-    end = np.repeat(np.cumsum(sizes), sizes)
-    begin = end - np.repeat(sizes, sizes)
-    at, out = np.arange(n), []
-    for step in (-2, -1, 1, 2):
-        there = (at + step >= begin) & (at + step < end)
-        c = np.where(there, classes[np.clip(at + step, 0, max(0, n - 1))], CLASSES)
-        out.append(np.where(c < CLASSES, c * OUTER // CLASSES, OUTER) if abs(step) == 2 else c)
-    return tuple(out)
-
-
 def cell_ids(classes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    l2, l1, r1, r2 = contexts(classes, sizes)
-    return (((l2 * INNER_IDS + l1) * INNER_IDS + r1) * OUTER_IDS + r2) * CLASSES + classes
+    """The cell of every word: two classes on either side, far ones in outer ids, and its own."""
+    at = np.arange(len(classes)) + np.repeat(2 * np.arange(len(sizes)), sizes)
+    # Class CLASSES stands twice between texts and at both ends; its outer id is OUTER.
+    near = np.full(len(classes) + 2 * len(sizes) + 2, CLASSES, np.int32)
+    near[at + 2] = classes
+    far = near * OUTER // CLASSES
+    return ((((far[:-4] * INNER_IDS + near[1:-3]) * INNER_IDS + near[3:-1]) * OUTER_IDS + far[4:]) * CLASSES + near[2:-2])[at]
 
 
 class Network:
@@ -343,7 +355,7 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
         for b in batches:
             for texts in parts(b.column(0).to_pylist()):
                 flat, sizes = words(texts)
-                total += np.bincount(cell_ids(shared.value[buckets(flat)].astype(np.int64), sizes), minlength=CELLS)
+                np.add.at(total, cell_ids(shared.value[buckets(flat)], sizes), 1)
                 made = [(k, distinct(x)) for k, (x,) in by_part(*entries(flat, sizes, shift))]
                 yield rows_of([k for k, _ in made], [packed(x, n.astype(np.uint32)) for _, (x, n) in made])
         k = np.flatnonzero(total)
@@ -391,7 +403,7 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
             for texts in parts(b.column(1).to_pylist()):
                 flat, sizes = words(texts)
                 where = buckets(flat)
-                p = lookup[cell_ids(class_of[where].astype(np.int64), sizes)] + within[where]
+                p = lookup[cell_ids(class_of[where], sizes)] + within[where]
                 part, entry = entries(flat, sizes, shift)
                 row = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
                 step = np.minimum(np.rint(p * -SCALE), 65535).astype(np.uint16)
@@ -428,9 +440,11 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
             for blob in blobs:
                 start, (low, high, at_row, p) = int(np.frombuffer(blob, np.int64, 1)[0]), unpacked(unpressed(blob[8:]), "u4", "u2", "u4", "u2")
                 x, at_row, p = whole(low, high), np.cumsum(at_row, dtype=np.int64), p / -SCALE
+                order = np.argsort(x)  # looked up in order, neighbours in the table are in the cache
+                x = x[order]
                 at = np.minimum(np.searchsorted(key, x), max(0, len(key) - 1))
                 hit = np.flatnonzero(key[at] == x) if len(key) else np.empty(0, np.int64)
-                at, at_row, p = at[hit], at_row[hit], p[hit]
+                at, at_row, p = at[hit], at_row[order[hit]], p[order[hit]]
                 more = np.log((c[at] - 1 + PRIOR * np.exp(p)) / (n[at] - 1 + PRIOR)) - p
                 if len(at_row):
                     total, some = np.bincount(at_row, more), np.flatnonzero(np.bincount(at_row))

@@ -316,6 +316,25 @@ def test_pseudo_likelihood(spark, odd, empty, monkeypatch):
     assert len(out) == 10 and sorted((r.n_tokens for r in out))[:4] == [0, 0, 0, 0] and pseudolm.log_likelihood(empty).count() == 0
 
 
+def test_words_are_hashed_without_python_word_by_word(monkeypatch):
+    rng, called = random.Random(6), []
+    one = pseudolm.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(pseudolm.xxhash, "xxh3_64_intdigest", lambda w: called.append(w) or one(w))
+    pool = [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b"\x1c", b"\x85", b"\0", b"a", b"A", b"b", "\u00e9".encode(), b"wxyz" * 3, b"q" * 31]
+    texts = [None, b"", b" \n ", b"a\0", b"a", b"x" * 64, b"X" * 65, b"x" * 65, b"z " * 5]
+    texts += [b"".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(500)]
+    split = [(t or b"").lower().split() for t in texts]
+    hashed, sizes = pseudolm.Words()(texts)
+    assert sizes.tolist() == [len(d) for d in split] and len(hashed) == sizes.sum()
+    pairs = set(zip((w for d in split for w in d), hashed.tolist(), strict=True))
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs}) > 500
+    assert called and all(len(w) > 64 for w in called)
+    many, _ = pseudolm.Words()([b" ".join(b"w%d" % i for i in range(200_000))])
+    for bits in (pseudolm.buckets(many), many >> np.uint64(46)):  # both ends are spread evenly
+        n = np.bincount(bits.astype(np.int64), minlength=1 << 18)
+        assert 0.9 < n.var() / n.mean() < 1.1
+
+
 def test_sums_travel_by_turns_not_by_rows(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(words(rng, 40, 30))) for i in range(400)]
