@@ -39,6 +39,8 @@ DIM, EPOCHS, BATCH, SEED = 24, 8, 4096, 5
 #: Words that the network's prediction counts for; words of the corpus in a part of the context tables, about; parts of the cells.
 PRIOR, PART_WORDS, CELL_PARTS = 4.0, 1_000_000, 64
 CONTEXT_BITS, WORD_BITS = 44, 20
+#: Words whose entries leave a task together, and those worked on at once, about.
+TURN_WORDS, PIECE_WORDS = 3_000_000, 300_000
 #: Log-probabilities travel in steps of 1 / SCALE, down to -32.
 SCALE = 2048
 #: Bytes of the longest word that numpy hashes; A-Z lower-cased and ASCII white space made spaces; masks of the first n bytes of eight.
@@ -149,8 +151,17 @@ def unpressed(blob) -> bytes:
     return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
 
 
-def rows_of(part: list, blob: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blob, pa.binary())], ["part", "blob"])
+def together(rows, names: list[str], size: int = 1 << 22):
+    """Rows (number, blob, ...) in batches of about size bytes: a batch for each costs more than most blobs hold."""
+    held, full = [], 0
+    for r in chain(rows, [None]):
+        if held and (r is None or full > size):
+            number, blob, *rest = zip(*held, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(blob, pa.binary()), *map(pa.array, rest)], names)
+            held, full = [], 0
+        if r is not None:
+            held.append(r)
+            full += len(r[1]) + 64
 
 
 def by_part(part: np.ndarray, *arrays: np.ndarray):
@@ -165,12 +176,17 @@ def by_part(part: np.ndarray, *arrays: np.ndarray):
         yield int(part[x]), [a[x:y] for a in arrays]
 
 
-def parts(texts: list, words: int = 300_000):
-    """Texts in turns of a bounded number of bytes, at least one each."""
+def texts_of(batches):
+    """Tuples of the rows of batches, whose last column is a text."""
+    return chain.from_iterable(zip(*(c.to_pylist() for c in b.columns), strict=True) for b in batches)
+
+
+def parts(rows, words: int):
+    """Rows (..., text) in lists of a bounded number of bytes, at least one row each."""
     part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t or b"")
+    for r in rows:
+        part.append(r)
+        size += len(r[-1] or b"")
         if size > 6 * words:
             yield part
             part, size = [], 0
@@ -333,9 +349,8 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         total, words = np.zeros(BUCKETS, np.int64), Words()
-        for b in batches:
-            for texts in parts(b.column(0).to_pylist()):
-                total += np.bincount(buckets(words(texts)[0]), minlength=BUCKETS)
+        for piece in parts(texts_of(batches), PIECE_WORDS):
+            total += np.bincount(buckets(words([r[-1] for r in piece])[0]), minlength=BUCKETS)
         yield from nonzero(total)
 
     got = rows.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows
@@ -351,16 +366,23 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
 
     def gather(batches):
         """Counts of entries in parts from 0, and of class cells in CELL_PARTS parts beyond."""
-        words, total = Words(), np.zeros(CELLS, np.int64)
-        for b in batches:
-            for texts in parts(b.column(0).to_pylist()):
-                flat, sizes = words(texts)
-                np.add.at(total, cell_ids(shared.value[buckets(flat)], sizes), 1)
-                made = [(k, distinct(x)) for k, (x,) in by_part(*entries(flat, sizes, shift))]
-                yield rows_of([k for k, _ in made], [packed(x, n.astype(np.uint32)) for _, (x, n) in made])
-        k = np.flatnonzero(total)
-        made = list(by_part(k % CELL_PARTS, k, total[k]))
-        yield rows_of([parted + p for p, _ in made], [packed(*x) for _, x in made])
+
+        def made():
+            words, total = Words(), np.zeros(CELLS, np.int64)
+            for turn in parts(texts_of(batches), TURN_WORDS):
+                held = []
+                for piece in parts(turn, PIECE_WORDS):
+                    flat, sizes = words([r[-1] for r in piece])
+                    np.add.at(total, cell_ids(shared.value[buckets(flat)], sizes), 1)
+                    held.append(entries(flat, sizes, shift))
+                for k, (x,) in by_part(*map(np.concatenate, zip(*held, strict=True))):
+                    x, n = distinct(x)
+                    yield k, packed(x, n.astype(np.uint32))
+            k = np.flatnonzero(total)
+            for p, x in by_part(k % CELL_PARTS, k, total[k]):
+                yield parted + p, packed(*x)
+
+        yield from together(made(), ["part", "blob"])
         release()
 
     def collect(batches):
@@ -373,12 +395,12 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                     k, n = unpacked(blob, "i8", "i8")
                     total[k] += n
                 k = np.flatnonzero(total)
-                yield rows_of([part], [packed(k, total[k])]).append_column("load", pa.array([0], pa.int64()))
+                yield part, packed(k, total[k]), 0
             else:
                 load, key, c, n = seen(blobs)
-                yield rows_of([part], [pressed(packed(key, c, n))]).append_column("load", pa.array([load], pa.int64()))
+                yield part, pressed(packed(key, c, n)), load
 
-        yield from grouped(batches, finish)
+        yield from together(grouped(batches, finish), ["part", "blob", "load"])
 
     tables = rows.select("text").mapInArrow(gather, "part long, blob binary").repartition(spread, "part").sortWithinPartitions("part")
     tables = scratch.write(tables.mapInArrow(collect, "part long, blob binary, load long"), "contexts")
@@ -395,46 +417,47 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
     def predict(batches):
         """The network's log p of every word, in parts like those of the tables, and every row's own sums beyond."""
         class_of, within, weights, salts = model.value
-        lookup, words = Network(weights).table(), Words()
-        task, at, turn = TaskContext.get().partitionId(), 0, 0
-        for b in batches:
-            ids = b.column(0)
-            done = 0
-            for texts in parts(b.column(1).to_pylist()):
-                flat, sizes = words(texts)
-                where = buckets(flat)
-                p = lookup[cell_ids(class_of[where], sizes)] + within[where]
-                part, entry = entries(flat, sizes, shift)
-                row = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
-                step = np.minimum(np.rint(p * -SCALE), 65535).astype(np.uint16)
-                names, blobs, turn = [], [], turn + 1
+        lookup, words, task = Network(weights).table(), Words(), TaskContext.get().partitionId()
+
+        def made():
+            at = 0
+            for number, turn in enumerate(parts(texts_of(batches), TURN_WORDS)):
+                own, held, done = [], [], 0
                 start = np.array([task << 33 | at], np.int64).tobytes()
-                for k, (x, y, z) in by_part(part, entry, row, step):
-                    names.append(k | (turn % salts[k] if k in salts else 0) << 40)
-                    blobs.append(start + pressed(packed(*short(x), np.diff(y, prepend=np.uint32(0)).astype(np.uint32), z)))
-                total = np.concatenate(([0.0], np.cumsum(p, dtype=np.float64)))
-                end = np.cumsum(sizes)
-                some = ids.slice(done, len(sizes))
-                table = pa.RecordBatch.from_arrays([some, pa.array(sizes), pa.array(total[end] - total[end - sizes])], ["doc_id", "n", "s"])
+                for piece in parts(turn, PIECE_WORDS):
+                    flat, sizes = words([r[-1] for r in piece])
+                    where = buckets(flat)
+                    p = lookup[cell_ids(class_of[where], sizes)] + within[where]
+                    part, entry = entries(flat, sizes, shift)
+                    row = np.repeat(np.arange(done, done + len(sizes), dtype=np.uint32), sizes)
+                    held.append((part, *short(entry), row, np.minimum(np.rint(p * -SCALE), 65535).astype(np.uint16)))
+                    total = np.concatenate(([0.0], np.cumsum(p, dtype=np.float64)))
+                    end = np.cumsum(sizes)
+                    own.append((sizes, total[end] - total[end - sizes]))
+                    done += len(sizes)
+                for k, found in by_part(*map(np.concatenate, zip(*held, strict=True))):
+                    for salt, cut in enumerate(range(0, len(found[0]), PIECE_WORDS)):
+                        low, high, row, step = (x[cut : cut + PIECE_WORDS] for x in found)
+                        blob = start + pressed(packed(low, high, np.diff(row, prepend=np.uint32(0)).astype(np.uint32), step))
+                        yield k | ((task + number + salt) % salts[k] if k in salts else 0) << 40, blob, False
+                sizes, total = map(np.concatenate, zip(*own, strict=True))
+                table = pa.RecordBatch.from_arrays([pa.array([r[0] for r in turn], pa.int64()), pa.array(sizes), pa.array(total)], ["doc_id", "n", "s"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as w:
                     w.write_batch(table)
-                names.append(parted + (task + turn) % parted)
-                blobs.append(start + sink.getvalue().to_pybytes())
-                at, done = at + len(sizes), done + len(sizes)
-                yield rows_of(names, blobs).append_column("first", pa.array([False] * len(names)))
+                yield parted + (task + number) % parted, start + sink.getvalue().to_pybytes(), False
+                at += done
+
+        yield from together(made(), ["part", "blob", "first"])
         release()
 
     def update(batches):
         """(turn, blob, own): the turn's rows and their own sums, and what the contexts of a part add to those."""
 
-        def row(turn, blob, own):
-            return pa.RecordBatch.from_arrays([pa.array([turn], pa.int64()), pa.array([blob], pa.binary()), pa.array([own])], ["turn", "blob", "own"])
-
         def finish(part, blobs):
             if part & (1 << 40) - 1 >= parted:
                 for blob in blobs:
-                    yield row(int(np.frombuffer(blob, np.int64, 1)[0]), bytes(blob[8:]), True)
+                    yield int(np.frombuffer(blob, np.int64, 1)[0]), bytes(blob[8:]), True
                 return
             key, c, n = unpacked(unpressed(next(blobs)), "u8", "i8", "i8")
             for blob in blobs:
@@ -448,9 +471,9 @@ def log_likelihood(docs: DataFrame) -> DataFrame:
                 more = np.log((c[at] - 1 + PRIOR * np.exp(p)) / (n[at] - 1 + PRIOR)) - p
                 if len(at_row):
                     total, some = np.bincount(at_row, more), np.flatnonzero(np.bincount(at_row))
-                    yield row(start, pressed(packed(np.diff(some, prepend=0).astype(np.uint32), total[some].astype(np.float32))), False)
+                    yield start, pressed(packed(np.diff(some, prepend=0).astype(np.uint32), total[some].astype(np.float32))), False
 
-        yield from grouped((b.select(["part", "blob"]) for b in batches), finish)
+        yield from together(grouped((b.select(["part", "blob"]) for b in batches), finish), ["turn", "blob", "own"])
 
     def add(batches):
         """(doc_id, n_tokens, log_likelihood) of the rows of each turn, whose own sums come first."""

@@ -345,6 +345,33 @@ def test_sums_travel_by_turns_not_by_rows(spark):
     assert out.count() == 400
 
 
+def test_entries_travel_by_turns_not_by_arrow_batches(spark, monkeypatch):
+    rng = random.Random(7)
+    df = spark.createDataFrame([(i, " ".join(words(rng, 20, 400))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    sent, batches = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+    plain = type(df).mapInArrow
+
+    def counted(self, function, schema, *rest):
+        def run(given):
+            for b in function(given):
+                if "blob" in schema:
+                    sent.add(b.num_rows)
+                    batches.add(1)
+                yield b
+
+        return plain(self, run, schema, *rest)
+
+    monkeypatch.setattr(type(df), "mapInArrow", counted)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")  # 40 batches
+    try:
+        assert len(pseudolm.log_likelihood(df).collect()) == 400
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    # One turn: an entry blob and an answer for each of 32 parts, the tables, cells in 64 parts twice, and the rows' own sums twice.
+    assert sent.value <= 4 * 32 + 2 * 64 + 2 and batches.value <= sent.value / 2
+
+
 def test_texts_that_occur_twice_and_neighbours_within_a_class(spark):
     rng = random.Random(15)
     rows = [(i, " ".join(words(rng, 40, 3000))) for i in range(300)]
